@@ -19,17 +19,25 @@ def normalize_whitespace(c: Column) -> Column:
 
 
 def remove_html_tags(c: Column) -> Column:
-    return F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, fixed.HTML_TAG, "")).otherwise(c)
+    return F.regexp_replace(c, fixed.HTML_TAG, "")
+
+
+def _replace_where(c: Column, needle: str, pattern: str, replacement: str) -> Column:
+    """Replace matches, skipping the pattern for texts without ``needle``."""
+    return let(
+        c,
+        lambda t: F.when(
+            F.contains(t, F.lit(needle)), F.regexp_replace(t, pattern, replacement)
+        ).otherwise(t),
+    )
 
 
 def mask_urls(c: Column) -> Column:
-    masked = F.regexp_replace(c, fixed.URL_TO_MASK, fixed.URL_MASK)
-    return F.when(F.contains(c, F.lit("://")), masked).otherwise(c)
+    return _replace_where(c, "://", fixed.URL_TO_MASK, fixed.URL_MASK)
 
 
 def mask_emails(c: Column) -> Column:
-    masked = F.regexp_replace(c, fixed.EMAIL_TO_MASK, fixed.EMAIL_MASK)
-    return F.when(F.contains(c, F.lit("@")), masked).otherwise(c)
+    return _replace_where(c, "@", fixed.EMAIL_TO_MASK, fixed.EMAIL_MASK)
 
 
 def fold_unicode(c: Column) -> Column:

@@ -28,13 +28,13 @@ def csv_job(
     encoding: str = "utf-8",
 ) -> tuple[DataFrame, DataFrame]:
     """Read, profile, clean and write a CSV table; gives the profile and the cleaned table."""
-    table = read_csv(spark, source, encoding)
+    table = read_csv(spark, source, encoding, empty_as_null=False)
     # The position in the scan stands for the order of rows, so it is fixed once.
     numbered = cut_lineage(table.withColumn("_row", F.monotonically_increasing_id()), "csv")
     table = numbered.drop("_row")
     profile = profile_table(numbered, F.col("_row"), table.columns)
     write_csv(clean_table(table, cleaning), target, encoding=encoding)
-    return profile, read_csv(spark, target, encoding)
+    return profile, read_csv(spark, target, encoding, empty_as_null=False)
 
 
 def clean_corpus(

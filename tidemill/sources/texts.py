@@ -39,14 +39,15 @@ def read_text_files(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def read_document_pages(
-    spark: SparkSession, directory: str, decode: Callable[[bytes], Iterable[str]]
+    spark: SparkSession, directory: str, decode: Callable[[bytes], Iterable[str]],
+    name_pattern: str = DOCUMENT_FILES,
 ) -> DataFrame:
     """``(source, page_no, text, error)`` of the documents in ``directory``.
 
     ``decode`` turns the bytes of one file into the texts of its pages.  A
     file that fails gives one row with its error and does not stop the job.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", DOCUMENT_FILES).load(directory)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name_pattern).load(directory)
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
