@@ -12,7 +12,7 @@ from tidemill.operators import api_records, crawl, documents, profile, reports,
 from tidemill.operators.aggregate import AGGREGATES, group_aggregate
 from tidemill.operators.vector_search import nearest
 from tidemill.plans import jobs
-from tidemill.session import cut_lineage, scratch_path
+from tidemill.session import cut_lineage, scratch_path, spread
 from tidemill.sources import csv, sinks, texts
 
 from .notes import spark_note
@@ -53,7 +53,7 @@ def text_corpus(spark, sf) -> DataFrame:
     notes = table(spark, sf, "orders").select(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), spark_note().alias("text")
     )
-    return documents_.unionAll(notes)
+    return spread(documents_.unionAll(notes))
 
 
 def dirty_customers(spark, sf) -> DataFrame:
@@ -602,7 +602,7 @@ def embed_hashing(spark, sf):
 
 def _word_chunks(spark, sf):
     chunks = chunking.chunk_words(F.col("text"), *CHUNK_WORDS)
-    rows = table(spark, sf, "documents").select("doc_id", "source", F.posexplode(chunks).alias("i", "content"))
+    rows = spread(table(spark, sf, "documents")).select("doc_id", "source", F.posexplode(chunks).alias("i", "content"))
     chunk_id = F.concat_ws("_", F.col("doc_id").cast("string"), F.col("i").cast("string"))
     return rows.select(chunk_id.alias("chunk_id"), "source", "content")
 
@@ -624,7 +624,7 @@ def vector_topk(spark, sf):
 
 @query
 def semantic_query(spark, sf):
-    store = table(spark, sf, "documents").select(
+    store = spread(table(spark, sf, "documents")).select(
         F.col("doc_id").alias("chunk_id"), "lang", hashing_embedding(F.col("text")).alias("embedding")
     )
     found = jobs.search_text(store, benchmark_queries(spark, sf))

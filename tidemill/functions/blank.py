@@ -27,6 +27,10 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(strip(c) == "", F.lit(True))
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def words(c: Column) -> Column:
     """Words between blanks, without empty ones."""
     return F.filter(F.split(c, fixed.BLANK_RUN), lambda w: w != "")

@@ -24,9 +24,9 @@ NUMBER = (
 )
 
 # Text cleaning.
-EXCESS_NEWLINES = r"\n{3,}"
-BLANK_STRETCH = r"[ \t]{2,}|\t"  # a single space would be replaced by itself
-BLANKS_AROUND_NEWLINE = r" +\n *|\n +"  # a bare newline would be replaced by itself
+EXCESS_NEWLINES = r"\n\n\n+"
+BLANK_STRETCH = r"[ \t][ \t]+|\t"  # a single space would be replaced by itself
+BLANKS_AROUND_NEWLINE = r" \n ?|\n "  # blank stretches are single spaces by then
 HTML_TAG = r"<[^>]+>"
 URL_TO_MASK = rf"(?U)https?://{NOT_BLANK}+"
 # A masked address is a whole run of non-blanks, so only run starts are tried.
@@ -60,13 +60,16 @@ PHONE_US = r"(?U)\+?1?[-.\s]?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}"
 PHONE_INTERNATIONAL = r"(?U)\+\d{1,3}[-.\s]?\d{3,4}[-.\s]?\d{3,4}[-.\s]?\d{3,4}"
 # One host unit is enough: the tail class holds every further host character.
 URL = r"(?U)https?://(?:[-\w.]|%[\da-fA-F]{2})[/\w\-._~:/?#\[\]@!$&'()*+,;=%]*"
+# What every phone number and every date but the slashed ones contains.
+THREE_DIGITS = r"(?U)\d{3}"
+FOUR_DIGITS = r"(?U)\d{4}"
 DATE_ISO = r"(?U)\d{4}-\d{2}-\d{2}"
 DATE_SLASHED = r"(?U)\d{1,2}/\d{1,2}/\d{2,4}"
 DATE_MONTH_FIRST = (
-    r"(?iuU)\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{1,2},?\s+\d{4}\b"
+    r"(?U)(?iu)\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{1,2},?\s+\d{4}\b"
 )
 DATE_DAY_FIRST = (
-    r"(?iuU)\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{4}"
+    r"(?U)(?iu)\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{4}"
 )
 MONEY_PREFIXES = {"$": "USD", "€": "EUR", "£": "GBP"}
 MONEY_AFTER_PREFIX = r"[\d,]+(?:\.\d{2})?"
@@ -95,3 +98,8 @@ OWN_TEXT_TAGS = ["rp", "rt", "script", "style", "template"]
 
 # Character chunks: separators from coarse to fine.
 CHUNK_SEPARATORS = ["\n\n", "\n", ". ", " ", ""]
+
+
+def without_unicode_classes(pattern: str) -> str:
+    """The pattern for ASCII texts, where both meanings of the classes agree."""
+    return pattern.removeprefix("(?U)").replace("(?iu)", "(?i)")

@@ -10,26 +10,23 @@ from . import fixed_values as fixed
 _LIST = "array<variant>"
 
 
-def page_items(body: Column) -> Column:
-    """Items of a response: the list itself or the first envelope key present.
-
-    NULL when the response holds no list (other JSON, undecodable text, or an
-    envelope whose first present key is not a list).
-    """
-    parsed = F.try_parse_json(body)
-    envelope = F.coalesce(
-        *[F.try_variant_get(parsed, f"$.{key}", "variant") for key in fixed.ENVELOPE_KEYS]
-    )
+def parse_body(body: Column) -> Column:
+    """A response as VARIANT, NULL when it is not JSON."""
+    return F.try_parse_json(body)
+
+
+def page_envelope(parsed: Column) -> Column:
+    """The value under the first envelope key that is present, JSON null included."""
+    return F.coalesce(*[F.try_variant_get(parsed, f"$.{key}", "variant") for key in fixed.ENVELOPE_KEYS])
+
+
+def page_items(parsed: Column, envelope: Column) -> Column:
+    """Items of a response: the list itself or the list in its envelope, NULL without a list."""
     return F.coalesce(
         F.try_variant_get(parsed, "$", _LIST), F.try_variant_get(envelope, "$", _LIST)
     )
 
 
-def page_error(body: Column) -> Column:
-    """Why a response could not be decoded, NULL when it could."""
-    return F.when(F.try_parse_json(body).isNull(), F.lit("undecodable JSON"))
-
-
 def record_field(record: Column, name: str, type_name: str = "string") -> Column:
     """One top-level field of a record; a missing field gives NULL."""
     quoted = name.replace("'", "\\'")

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json_pages import page_error, page_items, record_field
+from ..functions.json_pages import page_envelope, page_items, parse_body, record_field
 from ..functions.urls import page_url
+from ..session import spread
 from .lookup import join_per_key
 
 MAX_PAGES = 10
@@ -30,8 +31,13 @@ def unwrap_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     ``items`` is NULL for a response without a list; the page cap reaches the
     scan before any body is parsed.
     """
-    return pages.filter(F.col("page").between(1, max_pages)).select(
-        "endpoint", "page", page_items(F.col("body")).alias("items"), page_error(F.col("body")).alias("error")
+    wanted = spread(pages.filter(F.col("page").between(1, max_pages)))
+    parsed = wanted.select("endpoint", "page", "body", parse_body(F.col("body")).alias("parsed"))
+    opened = parsed.withColumn("envelope", page_envelope(F.col("parsed")))
+    failed = F.col("body").isNull() | F.col("parsed").isNull()
+    return opened.select(
+        "endpoint", "page", page_items(F.col("parsed"), F.col("envelope")).alias("items"),
+        F.when(failed, "undecodable JSON").alias("error"),
     )
 
 
