@@ -70,7 +70,7 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     twice = sorted({c for c in result if result.count(c) > 1})
     if twice:
         raise ValueError(f"renaming gives {twice} more than once")
-    return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+    return df.toDF(*result)  # all at once, so names may be swapped
 
 
 def clean_table(df: DataFrame, cleaning: TableCleaning = TableCleaning()) -> DataFrame:

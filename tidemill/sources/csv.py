@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,13 @@ FORMAT = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-SINGLE_BYTE_QUOTES = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin-1", "latin1", "windows-1252", "cp1252")
+# Names of encodings in which a quote is one ASCII byte, as Spark calls them.
+ASCII_BASED = {"utf-8": "utf-8", "ascii": "us-ascii", "iso8859-1": "iso-8859-1"}
+
+
+def _charset(encoding: str) -> str:
+    name = codecs.lookup(encoding).name
+    return ASCII_BASED.get(name, name.replace("-le", "le").replace("-be", "be"))
 
 
 def _files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
@@ -38,23 +46,23 @@ def read_csv(
     Only files with line breaks inside quotes are read as a whole, all others
     in splits.
     """
-    header_of = spark.read.options(**FORMAT).option("encoding", encoding).option("multiLine", True)
-    if encoding.lower() in SINGLE_BYTE_QUOTES:
+    charset = _charset(encoding)
+    if charset in ASCII_BASED.values():
         plain, broken = _files(spark, path)
     else:
         plain, broken = [], [path]
     parts = []
     for files, multi_line in ((plain, False), (broken, True)):
         if files:
-            reader = spark.read.options(**FORMAT).option("encoding", encoding)
+            reader = spark.read.options(**FORMAT).option("encoding", charset)
             parts.append(reader.option("multiLine", multi_line).csv(files))
     if not parts:
-        return header_of.csv(path)
+        return spark.read.options(**FORMAT).option("encoding", charset).csv(path)
     df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return df if empty_as_null else df.na.fill("")
 
 
 def write_csv(df: DataFrame, path: str, headers: list[str] | None = None, encoding: str = "utf-8") -> None:
     """Header and rows in the given column order, quoted only where needed."""
-    out = df.select(*(headers or df.columns)).write.options(**FORMAT).option("encoding", encoding)
+    out = df.select(*(headers or df.columns)).write.options(**FORMAT).option("encoding", _charset(encoding))
     out.option("emptyValue", "").option("nullValue", "").csv(path)

@@ -13,7 +13,7 @@ from ..functions.blank import is_blank
 # The file kinds taken from a folder.
 TEXT_FILES = "*.{md,txt,text}"
 DOCUMENT_FILES = "*.pdf"
-UNDECODABLE = "�"
+UNDECODABLE = "\ufffd"
 
 PAGE_SCHEMA = "source string, page_no int, text string, error string"
 
@@ -30,7 +30,10 @@ def read_text_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("pathGlobFilter", TEXT_FILES)
         .load(directory)
     )
-    content = F.replace(F.col("value"), F.lit(UNDECODABLE), F.lit(""))
+    marked = F.make_valid_utf8("value")
+    content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(
+        F.replace(marked, F.lit(UNDECODABLE), F.lit(""))
+    )
     return files.select(
         content.alias("content"),
         F.col("_metadata.file_path").alias("source"),
