@@ -75,7 +75,7 @@ def dirty_customers(spark, sf) -> DataFrame:
 def dirty_lineitems(spark, sf) -> DataFrame:
     """Line items as text with prices that do not all parse."""
     price = F.col("l_extendedprice").cast("string")
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         F.col("l_returnflag").alias("flag"),
         F.col("l_suppkey").cast("string").alias("supplier"),
         F.when(F.col("l_discount") == 0, "n/a")
@@ -92,7 +92,7 @@ def text_orders(spark, sf) -> DataFrame:
     price = F.concat(
         F.floor(whole / 1000).cast("string"), F.lit(","), F.lpad((whole % 1000).cast("string"), 3, "0")
     )
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         F.col("o_orderkey").alias("row"),
         F.col("o_custkey").cast("string").alias("customer"),
         F.when(F.col("o_totalprice") < 20000, " ").otherwise(price).alias("price"),

@@ -88,4 +88,4 @@ def chunk_characters(c: Column, size: int = CHUNK_SIZE, overlap: int = OVERLAP)
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else split_characters(t, size, overlap))
 
-    return split(c)
+    return split.asNondeterministic()(c)  # so that no filter evaluates it again

@@ -44,4 +44,4 @@ def hashing_embedding(c: Column, dimension: int = DIMENSION) -> Column:
         for texts in batches:
             yield texts.map(lambda t: None if t is None else hash_text(t, dimension, hash_of))
 
-    return embed(c)
+    return embed.asNondeterministic()(c)  # so that no filter evaluates it again

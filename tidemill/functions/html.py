@@ -121,7 +121,9 @@ def html_blocks(c: Column, close_open_p: bool = False) -> Column:
     def parse(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: None if page is None else blocks_of(page, close_open_p))
 
-    return parse(c)
+    # Nondeterministic in name: a filter on the result must not be pushed below
+    # it, which would parse every page twice.
+    return parse.asNondeterministic()(c)
 
 
 def render_markdown(blocks: Column) -> Column:

@@ -78,6 +78,7 @@ def _scored(
     best: pa.Table | None = None
     beyond = np.full(len(queries), np.inf)
     for batch in batches:
+        batch = batch.filter(batch[vector].is_valid())
         if not batch.num_rows:
             continue
         query, row, score = _closest(_matrix(batch[vector]), queries, k, beyond)
@@ -110,29 +111,29 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank``, the store's columns without the vector, and ``score``.
 
-    ``queries`` holds ``(query_id, embedding)``.  Its size is measured: query
-    vectors within the bounds go to every task with the function; more of them
-    are searched block by block.
+    ``queries`` holds ``(query_id, embedding)``.  Query vectors within the
+    bounds on rows and bytes go to every task with the function; more of them
+    are searched block by block.  Rows without a vector have no neighbours.
     """
-    store = store.filter(F.col(vector).isNotNull())
-    queries = queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding")
-    size = queries.agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("values")
-    ).first()
+    queries = queries.select("query_id", "embedding")
     payload = [f for f in store.schema.fields if f.name != vector]
     query_field = StructField("query_id", queries.schema["query_id"].dataType)
     schema = StructType([query_field, *payload, StructField("score", DoubleType())])
-    if size["rows"] <= query_rows and size["values"] * 8 <= QUERY_BYTES:
-        partial = _search_with_all(store, queries, k, id_column, vector, schema)
+    first = queries.limit(query_rows + 1).toArrow()
+    if first.num_rows <= query_rows and first.nbytes <= QUERY_BYTES:
+        partial = _search_with_all(store, first, k, id_column, vector, schema)
     else:
-        blocks = max(ceil(size["rows"] / query_rows), ceil(size["values"] * 8 / QUERY_BYTES)) * 2
+        size = queries.agg(F.count("*").alias("rows"), F.max(F.size("embedding")).alias("width")).first()
+        per_block = max(1, min(query_rows, QUERY_BYTES // (4 * max(size["width"], 1))) // 2)
+        blocks = ceil(size["rows"] / per_block)
         partial = _search_blocks(store, queries, k, id_column, vector, schema, blocks, cell_rows)
     names = [f.name for f in payload]
     return _merge(partial, k, id_column).select("query_id", "rank", *names, "score")
 
 
-def _search_with_all(store, queries, k, id_column, vector, schema) -> DataFrame:
-    rows = queries.toArrow()  # within QUERY_ROWS and QUERY_BYTES
+def _search_with_all(store, rows, k, id_column, vector, schema) -> DataFrame:
+    """``rows`` holds the query vectors, within the bounds on rows and bytes."""
+    rows = rows.filter(rows["embedding"].is_valid())
     ids, matrix = rows["query_id"], _matrix(rows["embedding"])
     names = schema.names
 
@@ -161,6 +162,7 @@ def _search_blocks(store, queries, k, id_column, vector, schema, blocks, cell_ro
     names = schema.names
 
     def search(rows: pa.Table, block: pa.Table) -> pa.Table:
+        block = block.filter(block["embedding"].is_valid())
         matrix = _matrix(block["embedding"])
         rows = rows.drop_columns(["_slice", "_block"])
         best = _scored(rows.combine_chunks().to_batches(), matrix, k, id_column, vector) if len(matrix) else None

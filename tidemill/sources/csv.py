@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ def _files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     lines = spark.read.option("lineSep", "\n").text(path)
     odd = F.pmod(F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit(""))), F.lit(2))
     found = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max(odd).alias("odd")).collect()
-    plain = sorted(r["file"] for r in found if not r["odd"])
-    return plain, sorted(r["file"] for r in found if r["odd"])
+    plain = sorted(unquote(r["file"]) for r in found if not r["odd"])
+    return plain, sorted(unquote(r["file"]) for r in found if r["odd"])
 
 
 def read_csv(

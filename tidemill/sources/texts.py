@@ -18,6 +18,19 @@ UNDECODABLE = "\ufffd"
 PAGE_SCHEMA = "source string, page_no int, text string, error string"
 
 
+def text_documents(files: DataFrame) -> DataFrame:
+    """``(content, source, filename)`` of whole text files, batch or stream."""
+    marked = F.make_valid_utf8("value")
+    content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(
+        F.replace(marked, F.lit(UNDECODABLE), F.lit(""))
+    )
+    return files.select(
+        content.alias("content"),
+        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_name").alias("filename"),
+    ).filter(~is_blank(F.col("content")))
+
+
 def read_text_files(spark: SparkSession, directory: str) -> DataFrame:
     """``(content, source, filename)`` of the text files below ``directory``.
 
@@ -30,15 +43,7 @@ def read_text_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("pathGlobFilter", TEXT_FILES)
         .load(directory)
     )
-    marked = F.make_valid_utf8("value")
-    content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(
-        F.replace(marked, F.lit(UNDECODABLE), F.lit(""))
-    )
-    return files.select(
-        content.alias("content"),
-        F.col("_metadata.file_path").alias("source"),
-        F.col("_metadata.file_name").alias("filename"),
-    ).filter(~is_blank(F.col("content")))
+    return text_documents(files)
 
 
 def read_document_pages(
