@@ -11,8 +11,8 @@ from ..functions.chunking import CHUNK_SIZE, OVERLAP, chunk_characters
 from ..functions.cleaning import CleaningOptions, clean_markdown, clean_text, deduplicate_paragraphs
 from ..functions.embedding import hashing_embedding
 from ..functions.extraction import extract_all
+from ..functions.html import html_blocks, render_markdown
 from ..operators.api_records import MAX_PAGES, project_fields, records
-from ..operators.crawl import page_files
 from ..operators.profile import profile_table
 from ..operators.table_cleaning import TableCleaning, clean_table
 from ..operators.vector_search import TOP_K, nearest
@@ -70,9 +70,9 @@ def web_documents(pages: DataFrame) -> DataFrame:
 
     Each page stays in its row from HTML to cleaned text: nothing shuffles.
     """
-    files = page_files(spread(pages), keep=["page_id"]).filter(F.col("markdown") != "")
-    return files.select(
-        deduplicate_paragraphs(clean_markdown(F.col("markdown"))).alias("content"),
+    blocks = spread(pages).select("page_id", "url", html_blocks(F.col("html")).alias("blocks"))
+    return blocks.filter(F.size("blocks") > 0).select(
+        deduplicate_paragraphs(clean_markdown(render_markdown(F.col("blocks")))).alias("content"),
         F.col("url").alias("source"),
         F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".md")).alias("filename"),
     )
