@@ -299,6 +299,62 @@ chunks as (
   from placed)"""
 
 
+def character_chunks(source: str, size: int, overlap: int) -> str:
+    """Chunks ``(id, chunk_index, chunk)`` of ``source(id, text)``.
+
+    Level by level, texts too long are cut before each separator; neighbouring
+    short pieces form a run, and a fold over each run finds where its chunks
+    start and end.
+    """
+    ctes = [f"todo0 as (select id, cast([] as bigint[]) as path, text from {source})"]
+    for level, separator in enumerate(fixed.CHUNK_SEPARATORS):
+        last = level == len(fixed.CHUNK_SEPARATORS) - 1
+        sep = quoted(separator)
+        cut = (
+            "regexp_extract_all(text, '(?s).')"
+            if last
+            else f"list_transform(string_split(text, {sep}), lambda x, i: case when i = 1 then x else {sep} || x end)"
+        )
+        here = "true" if last else f"contains(text, {sep})"
+        too_long = "false" if last else f"length(piece) >= {size}"
+        ctes.append(f"""cut{level} as (
+  select id, path, unnest(l) as piece, generate_subscripts(l, 1) as idx from (
+    select id, path, list_filter({cut}, lambda x: x <> '') as l from todo{level} where {here})),
+pieces{level} as (
+  select id, path, idx, piece, {too_long} as too_long,
+    sum(case when {too_long} then 1 else 0 end) over (partition by id, path order by idx) as run from cut{level}),
+todo{level + 1} as (
+  select id, list_append(path, idx) as path, piece as text from pieces{level} where too_long
+  union all select id, path, text from todo{level} where not ({here}))""")
+    atoms = " union all ".join(
+        f"select id, path, run, idx, piece from pieces{level} where not too_long"
+        for level in range(len(fixed.CHUNK_SEPARATORS))
+    )
+    before = "cums[acc.i] - coalesce(cums[{0} - 1], 0)"
+    fits = f"({before.format('j')} <= {overlap} and {before.format('j')} + lens[x.i] <= {size})"
+    ctes.append(f"""runs as (
+  select id, list_append(path, min(idx)) as path, list(piece order by idx) as pieces,
+    list(length(piece) order by idx) as lens, list(cum order by idx) as cums from (
+    select *, sum(length(piece)) over (partition by id, path, run order by idx) as cum from ({atoms}))
+  group by id, run, path),
+folded as (
+  select id, path, pieces, list_reduce(
+    list_transform(range(1, len(pieces) + 1), lambda i: {{'i': i, 's': cast(1 as bigint), 'out': cast([] as struct(a bigint, b bigint)[])}}),
+    lambda acc, x: case when {before.format('acc.s')} + lens[x.i] > {size}
+      then {{'i': x.i, 's': list_filter(range(acc.s, x.i + 1), lambda j: j = x.i or {fits})[1],
+             'out': list_append(acc.out, {{'a': acc.s, 'b': acc.i}})}}
+      else {{'i': x.i, 's': acc.s, 'out': acc.out}} end) as f
+  from runs),
+bounds as (
+  select id, path, pieces, unnest(list_append(f.out, {{'a': f.s, 'b': f.i}})) as e,
+    generate_subscripts(list_append(f.out, {{'a': f.s, 'b': f.i}}), 1) as k from folded),
+chunked as (
+  select id, path, k, {strip("array_to_string(pieces[e.a : e.b], '')")} as chunk from bounds),
+chunks as (
+  select id, row_number() over (partition by id order by path, k) - 1 as chunk_index, chunk from chunked where chunk <> '')""")
+    return ",\n".join(ctes)
+
+
 def hashed(source: str, key: str, text: str, name: str = "vectors") -> str:
     return f"""{name}_words as (
   select {key}, unnest(list_filter(regexp_split_to_array(lower({text}), '{SPLIT}'), lambda w: w <> '')) as w from {source}),
@@ -463,6 +519,26 @@ def oracle() -> dict[str, str]:
             ranked as (select *, row_number() over (partition by item_id order by score, doc_id) as rank from scored)
             select item_id as query_id, rank, doc_id as chunk_id, lang, round(score, 6) as score from ranked where rank <= 4""",
     }
+    sql["chunk_chars"] = f"with {TEXTS}, {character_chunks('texts', *q.CHUNK_CHARACTERS)} select id, chunk_index, chunk from chunks"
+    sql["chunk_documents"] = f"""with files as (select doc_id as id, text from documents), {character_chunks('files', *q.WEB_CHUNK)}
+        select 'doc_' || id || '.txt_' || chunk_index as chunk_id, source, chunk_index, chunk as content
+        from chunks join documents on doc_id = id"""
+    web = f"""{HTML}, files as (
+        select page_id as id, {deduplicated(cleaned_markdown("markdown"))} as text from markdown where markdown <> ''),
+        {character_chunks('files', *q.WEB_CHUNK)}"""
+    sql["web_corpus_summary"] = f"with {web} select count(distinct id) as pages, count(*) as chunks from chunks"
+    sql["web_corpus_search"] = f"""with {web}, named as (select id * 1000000 + chunk_index as chunk_no, chunk from chunks),
+        {hashed('named', 'chunk_no', 'chunk', 'd')}, {hashed('benchmark', 'item_id', 'text', 'b')},
+        d_all as (select chunk_no, bucket, coalesce(weight, 0) as weight from named cross join (select unnest(range(64)) as bucket)
+          left join d using (chunk_no, bucket)),
+        b_all as (select item_id, bucket, coalesce(weight, 0) as weight from benchmark cross join (select unnest(range(64)) as bucket)
+          left join b using (item_id, bucket)),
+        scored as (select item_id, chunk_no, sum((cast(d_all.weight as double) - b_all.weight) * (cast(d_all.weight as double) - b_all.weight)) as score
+          from d_all join b_all using (bucket) group by all),
+        labeled as (select item_id, 'page_' || id || '.md_' || chunk_index as chunk_id, url as source, chunk as content, score
+          from scored join chunks on chunk_no = id * 1000000 + chunk_index join pages on page_id = id),
+        ranked as (select *, row_number() over (partition by item_id order by score, chunk_id) as rank from labeled)
+        select item_id as query_id, rank, chunk_id, source, content, round(score, 4) as score from ranked where rank <= 4"""
     aggregates = {"sum": "round(sum(v), 2)", "mean": "round(avg(v), 2)", "count": "count(v)", "min": "round(min(v), 2)", "max": "round(max(v), 2)"}
     numbers = f"{ITEMS}, numbers as (select flag, supplier, {number('price')} as v from items)"
     for function, expression in aggregates.items():
