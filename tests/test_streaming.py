@@ -1,3 +1,5 @@
+import uuid
+
 from tidemill.streaming.text_files import clean_text_stream, read_text_stream
 
 
@@ -5,7 +7,7 @@ def test_files_are_cleaned_once_as_they_land(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
     (source / "a.txt").write_text("x  <b>y</b>\n\nX Y")
-    name = tmp_path.name
+    name = uuid.uuid4().hex  # the shared folder may outlive the test
 
     def run():
         clean_text_stream(read_text_stream(spark, str(source)), target, name).awaitTermination(60)

@@ -41,12 +41,12 @@ def extract_emails(c: Column) -> Column:
 
 
 def extract_phones(c: Column) -> Column:
-    return _distinct(
-        F.concat(
-            _find(c, fixed.PHONE_US, where=fixed.THREE_DIGITS),
-            _find(c, fixed.PHONE_INTERNATIONAL, "+", where=fixed.THREE_DIGITS),
-        )
-    )
+    def search(run: Column) -> Column:
+        american = F.regexp_extract_all(run, F.lit(fixed.PHONE_US), F.lit(0))
+        return F.concat(american, F.regexp_extract_all(run, F.lit(fixed.PHONE_INTERNATIONAL), F.lit(0)))
+
+    runs = F.filter(F.split(c, fixed.NOT_IN_PHONE), lambda r: F.length(r) >= fixed.SHORTEST_PHONE)
+    return _distinct(F.flatten(F.transform(runs, search)))
 
 
 def extract_urls(c: Column) -> Column:

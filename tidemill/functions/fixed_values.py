@@ -53,20 +53,22 @@ EMPTY_HEADER = rf"(?dmU)^#{{1,6}}{BLANK}*$"
 HEADER_AFTER_BLANK_LINES = r"\n{2,}(#{1,6})"
 PARAGRAPH_BREAK = "\n\n"
 
-# Entities.  The leading look-behinds skip starts inside a run whose first
+# Entities.  The leading look-behind skips starts inside a run whose first
 # character already failed; ``\G`` admits the end of the previous match.
 EMAIL = r"(?:(?<![a-zA-Z0-9._%+-])|\G)[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PHONE_US = r"(?U)\+?1?[-.\s]?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}"
 PHONE_INTERNATIONAL = r"(?U)\+\d{1,3}[-.\s]?\d{3,4}[-.\s]?\d{3,4}[-.\s]?\d{3,4}"
+# A phone number lies inside one run of these characters, at least this long.
+NOT_IN_PHONE = r"(?U)[^-+.()\s\d]+"
+SHORTEST_PHONE = 10
 # One host unit is enough: the tail class holds every further host character.
 URL = r"(?U)https?://(?:[-\w.]|%[\da-fA-F]{2})[/\w\-._~:/?#\[\]@!$&'()*+,;=%]*"
-# What every phone number and every date but the slashed ones contains.
-THREE_DIGITS = r"(?U)\d{3}"
+# What every date but the slashed ones contains.
 FOUR_DIGITS = r"(?U)\d{4}"
 DATE_ISO = r"(?U)\d{4}-\d{2}-\d{2}"
 DATE_SLASHED = r"(?U)\d{1,2}/\d{1,2}/\d{2,4}"
 DATE_MONTH_FIRST = (
-    r"(?U)(?iu)\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{1,2},?\s+\d{4}\b"
+    r"(?U)(?iu)(?=[jfmasond])\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{1,2},?\s+\d{4}\b"
 )
 DATE_DAY_FIRST = (
     r"(?U)(?iu)\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{4}"
@@ -74,9 +76,10 @@ DATE_DAY_FIRST = (
 MONEY_PREFIXES = {"$": "USD", "€": "EUR", "£": "GBP"}
 MONEY_AFTER_PREFIX = r"[\d,]+(?:\.\d{2})?"
 MONEY_CODES = ["USD", "EUR", "GBP", "INR"]
-MONEY_BEFORE_CODE = r"(?U)(?<![\d,])[\d,]+(?:\.\d{2})?\s*(?:USD|EUR|GBP|INR)"
+# A look-ahead for the first character spares the look-behind at all others.
+MONEY_BEFORE_CODE = r"(?U)(?=[\d,])(?<![\d,])[\d,]+(?:\.\d{2})?\s*(?:USD|EUR|GBP|INR)"
 # The possessive repeat is a loop in Java; the plain one recurses per word.
-NAME = r"(?U)(?<=[.!?]\s|^)[A-Z][a-z]+(?:\s+[A-Z][a-z]+)++"
+NAME = r"(?U)(?=[A-Z])(?<=[.!?]\s|^)[A-Z][a-z]+(?:\s+[A-Z][a-z]+)++"
 NAME_STOP_WORDS = ["The", "This", "That", "These", "New", "San", "Los", "Las", "United"]
 PAIR_SEPARATORS = [":", "=", "-"]
 PAIR_KEY_LIMIT = 50
