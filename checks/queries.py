@@ -143,7 +143,7 @@ def conversation_pages(spark, sf) -> DataFrame:
 
 
 def pages(spark, sf) -> DataFrame:
-    return table(spark, sf, "pages")
+    return spread(table(spark, sf, "pages"))
 
 
 def benchmark_queries(spark, sf) -> DataFrame:
