@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.bpe import token_digests
+from tidemill.llm.minhash import near_duplicates
 from tidemill.llm.token_counts import count_tokens
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,9 +26,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
