@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import token_digests
 from tidemill.llm.minhash import near_duplicates
+from tidemill.llm.projection_dedup import near_duplicate_vectors
+from tidemill.llm.threshold_topk import top_k
 from tidemill.llm.token_counts import count_tokens
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,9 +33,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85)
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
