@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import token_digests
+from tidemill.llm.language_id import fit, held_out, label_languages
 from tidemill.llm.minhash import near_duplicates
 from tidemill.llm.projection_dedup import near_duplicate_vectors
+from tidemill.llm.secret_scan import secret_digests
 from tidemill.llm.threshold_topk import top_k
 from tidemill.llm.token_counts import count_tokens
 
@@ -33,6 +35,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    kept_out = held_out(F.col("doc_id"))
+    net = fit(docs.where(~kept_out))
+    return label_languages(docs.select("doc_id", "text"), net).select(
+        "doc_id", kept_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(_table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -42,6 +57,8 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_secret_scan": op3_secret_scan,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
