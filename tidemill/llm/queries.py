@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.bpe import token_digests
 from tidemill.llm.language_id import fit, held_out, label_languages
 from tidemill.llm.minhash import near_duplicates
+from tidemill.llm.personal_data import personal_data_digests
 from tidemill.llm.projection_dedup import near_duplicate_vectors
 from tidemill.llm.secret_scan import secret_digests
 from tidemill.llm.threshold_topk import top_k
@@ -44,6 +45,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digests(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_personal_data": op2_personal_data,
     "op3_secret_scan": op3_secret_scan,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
