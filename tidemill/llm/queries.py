@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import token_digests
 from tidemill.llm.language_id import fit, held_out, label_languages
 from tidemill.llm.minhash import near_duplicates
+from tidemill.llm.mixing import mix_sources
+from tidemill.llm.oracle import SOURCE_MIX
 from tidemill.llm.personal_data import personal_data_digests
 from tidemill.llm.projection_dedup import near_duplicate_vectors
 from tidemill.llm.secret_scan import secret_digests
@@ -28,6 +30,22 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+MIX_WEIGHTS = {"domain": {"dom0": 4, "dom1": 3, "dom2": 2, "dom3": 1}, "language": {"en": 5, "de": 2, "fr": 2, "es": 1}, "source": {}}
+MIX_SEED, MIX_EPOCHS = 17, 3
+
+
+def source_domain() -> Column:
+    """The tables name no domain: sources are dealt into four by their number."""
+    return F.concat(F.lit("dom"), F.coalesce(F.expr("cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '') as int)"), F.lit(0)) % 4)
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    half = F.expr("total div 2")
+    mixed = mix_sources(docs, source_domain(), half, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED)
+    return mixed.select("doc_id", "lang", "source", "epoch")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
@@ -66,10 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_secret_scan": op3_secret_scan,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_source_mix": op6_source_mix,
     "op8_token_counts": op8_token_counts,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_source_mix": SOURCE_MIX}
