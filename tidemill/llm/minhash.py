@@ -110,17 +110,17 @@ def band_ids(lows: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str, words_each: int) -> DataFrame:
-    """``(key, n_shingles, set_a, set_b, s0.., bands)``: two fingerprints of the set, the packed minima, the buckets."""
+    """``(key, text_hash, n_shingles, set_a, set_b, s0.., bands)``: two fingerprints of the set, the packed minima, the buckets."""
     long = T.LongType()
     schema = T.StructType(
-        [T.StructField("key", docs.schema[key].dataType), T.StructField("n_shingles", long), T.StructField("set_a", long), T.StructField("set_b", long)]
+        [T.StructField("key", docs.schema[key].dataType), T.StructField("text_hash", long), T.StructField("n_shingles", long), T.StructField("set_a", long), T.StructField("set_b", long)]
         + [T.StructField(f"s{k}", long) for k in range(WORDS)]
         + [T.StructField("bands", T.ArrayType(long))]
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            values, offsets = shingles(batch.column(text), words_each)
+        for batch in slices(batches, "text"):
+            values, offsets = shingles(batch.column("text"), words_each)
             lows = minima(values, offsets)
             with np.errstate(over="ignore"):
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(values), dtype=np.uint64)])
@@ -129,13 +129,13 @@ def signatures(docs: DataFrame, key: str, text: str, words_each: int) -> DataFra
             words = packed(lows)
             bands = pa.FixedSizeListArray.from_arrays(pa.array(band_ids(lows).ravel()), BANDS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(np.diff(offsets)), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64))]
+                [batch.column("key"), batch.column("text_hash"), pa.array(np.diff(offsets)), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64))]
                 + [pa.array(words[:, k]) for k in range(WORDS)]
                 + [bands],
                 names=schema.names,
             )
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(sign, schema)
+    return docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).mapInArrow(sign, schema)
 
 
 def estimated_similarity(a: str, b: str) -> Column:
@@ -170,7 +170,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words_each: int, percent: int)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80) -> DataFrame:
-    """One row per text: ``key, n_shingles, component_id, kept``.
+    """One row per text: ``key, n_shingles, component_id, kept, text_hash``.
 
     ``component_id`` is the smallest key reachable by links of a Jaccard
     similarity of at least ``percent`` / 100, itself included; ``kept`` is
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     able = signed.where("key is not null and n_shingles > 0")
     classes = able.groupBy("set_a", "set_b").agg(F.min("key").alias("rep"))
     members = cut_lineage(
-        signed.select("key", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left").select("key", "n_shingles", F.when(F.expr("key is not null and n_shingles > 0"), F.col("rep")).alias("rep")),
+        signed.select("key", "text_hash", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left").select("key", "text_hash", "n_shingles", F.when(F.expr("key is not null and n_shingles > 0"), F.col("rep")).alias("rep")),
         "members",
     )
     reps = able.join(classes.select(F.col("rep").alias("key")).distinct(), "key", "leftsemi")
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     shared = rows.groupBy("bucket").agg(F.min("key").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
     buckets = cut_lineage(rows.join(shared, "bucket"), "buckets")
     involved = buckets.select("key").distinct()
-    signed_in = cut_lineage(able.drop("bands", "n_shingles", "set_a", "set_b").join(involved, "key", "leftsemi").distinct(), "candidates")
+    signed_in = cut_lineage(able.drop("bands", "text_hash", "n_shingles", "set_a", "set_b").join(involved, "key", "leftsemi").distinct(), "candidates")
     texts = cut_lineage(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "leftsemi"), "texts")
     u_signed, v_signed = (signed_in.select([F.col(c).alias(f"{side}_{c}" if c != "key" else side) for c in signed_in.columns]) for side in "uv")
     likely = estimated_similarity("u_", "v_") >= percent / 100 - SLACK
@@ -218,4 +218,4 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         labels = connected_components(links.union(more))
     found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "key")
-    return found.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))
+    return found.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"), "text_hash")

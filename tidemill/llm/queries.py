@@ -51,7 +51,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85)
+    return near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85).drop("text_hash")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
