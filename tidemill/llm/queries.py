@@ -15,6 +15,7 @@ from tidemill.llm.mixing import mix_sources
 from tidemill.llm.oracle import SOURCE_MIX
 from tidemill.llm.personal_data import personal_data_digests
 from tidemill.llm.projection_dedup import near_duplicate_vectors
+from tidemill.llm.repeated_spans import remove_repeats
 from tidemill.llm.secret_scan import secret_digests
 from tidemill.llm.threshold_topk import top_k
 from tidemill.llm.token_counts import count_tokens
@@ -46,6 +47,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "lang", "source", "epoch")
 
 
+def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_source_mix": op6_source_mix,
+    "op7_repeated_spans": op7_repeated_spans,
     "op8_token_counts": op8_token_counts,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op9_exact_top_k": op9_exact_top_k,
