@@ -2,15 +2,16 @@
 
 1. Every string of ``length`` bytes is filed under the smallest hash of its
    ``GRAM``-byte parts, so equal strings share a file wherever they occur.
-   Neighbouring strings of one file form a fragment, about one per 140 bytes.
+   Neighbouring strings that mean the same part (their pivot) form a fragment,
+   about one per 140 bytes.
 2. Fragments are counted by file and content.  A fragment met twice is
    repeated as a whole; a file with one content holds nothing else.
 3. Files with several contents send one copy of each to a task that builds a
    Burrows-Wheeler transform over them and finds the repeated strings by
    interval expansion (``bwt``).
 4. A file with more contents than ``CROWD`` is split instead: its fragments
-   are cut into slices, filed under the bytes that all strings of the slice
-   share, and counted again, in ever finer slices down to single strings.  So
+   are cut into slices by the distance from the pivot, filed under the bytes
+   that all strings at these distances share, and counted again, in ever finer slices down to single strings.  So
    a passage that a third of all texts share stays within bounds, exactly.
 
 Removed are all bytes covered by a repeated string.  Matches never cross texts.
@@ -37,37 +38,35 @@ from tidemill.session import cut_lineage
 LENGTH, GRAM, CROWD = 400, 128, 256
 SLICES = (32, 4, 1)
 BATCH_BYTES = 64 << 10
-PIECE, MOST_STARTS = 4 << 20, 4096
+PIECE = 4 << 20
+PLACE_BITS = np.uint64(24)  # enough for the places of two pieces
 _TOP = np.uint64(2**64 - 1)
-ITEM = ["text_hash", "at", "starts", "file", "content"]
+NAMES = ["key", "text_hash", "at", "starts", "pivot", "file", "content"]
 
 
 def fragments(flat: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Text, first start, number of starts, file and content of all fragments."""
+    """Text, first start, number of starts, pivot (from the first start), file and content of all fragments."""
     if len(flat) < length:
-        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     sums = prefix_hashes(flat)
     at = np.arange(len(flat) - gram + 1)
     hashes = span_hashes(sums, at, at + gram)
     width = length - gram + 1
     padded = np.full(-(-len(hashes) // width) * width + width, _TOP)
-    padded[: len(hashes)] = hashes
+    # The leading bits decide, and among equal ones the place: the leftmost.
+    padded[: len(hashes)] = hashes >> PLACE_BITS << PLACE_BITS | at.astype(np.uint64)
     blocks = padded.reshape(-1, width)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     lowest = np.minimum(behind[: len(hashes) - width + 1], ahead[width - 1 : len(hashes)])
-    start = np.arange(len(lowest))
+    pivot = (lowest & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    start = np.arange(len(pivot))
     text = np.searchsorted(bounds, start, "right") - 1
     whole = start + length <= bounds[text + 1]
-    start, text, lowest = start[whole], text[whole], lowest[whole]
-    if not len(start):
-        return text, start, start, lowest, lowest
-    change = np.concatenate([[True], (lowest[1:] != lowest[:-1]) | (np.diff(start) != 1) | (np.diff(text) != 0)])
-    run = np.maximum.accumulate(np.where(change, np.arange(len(start)), 0))
-    change |= (np.arange(len(start)) - run) % MOST_STARTS == 0
-    cut = np.flatnonzero(change)
-    first, count = start[cut], np.diff(np.append(cut, len(start)))
-    return text[cut], first - bounds[text[cut]], count, lowest[cut], span_hashes(sums, first, first + count + length - 1)
+    start, text, pivot = start[whole], text[whole], pivot[whole]
+    cut = np.flatnonzero(np.concatenate([[True], (np.diff(pivot) != 0) | (np.diff(start) != 1)])[: len(start)])
+    first, count, pivot = start[cut], np.diff(np.append(cut, len(start))), pivot[cut]
+    return text[cut], first - bounds[text[cut]], count, pivot - first, hashes[pivot], span_hashes(sums, first, first + count + length - 1)
 
 
 def pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -83,17 +82,17 @@ def pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def all_fragments(texts: DataFrame, length: int) -> DataFrame:
-    """``(key, text_hash, at, starts, file, content)`` of every fragment of ``texts(key, text_hash, text)``."""
-    schema = T.StructType([texts.schema["key"], texts.schema["text_hash"]] + [T.StructField(c, T.IntegerType() if c == "starts" else T.LongType()) for c in ITEM[1:]])
+    """``(key, text_hash, at, starts, pivot, file, content)`` of every fragment of ``texts(key, text_hash, text)``."""
+    schema = T.StructType([texts.schema["key"], texts.schema["text_hash"]] + [T.StructField(c, T.IntegerType() if c in ("starts", "pivot") else T.LongType()) for c in NAMES[2:]])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             for flat, bounds, rows, offsets in pieces(batch, length):
-                text, at, starts, file, content = fragments(flat, bounds, length, GRAM)
+                text, at, starts, pivot, file, content = fragments(flat, bounds, length, GRAM)
                 owner = pa.array(rows[text])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(owner), batch.column("text_hash").take(owner), pa.array(at + offsets[text])]
-                    + [pa.array(starts.astype(np.int32)), pa.array(file.view(np.int64)), pa.array(content.view(np.int64))],
+                    + [pa.array(starts.astype(np.int32)), pa.array(pivot.astype(np.int32)), pa.array(file.view(np.int64)), pa.array(content.view(np.int64))],
                     names=schema.names,
                 )
 
@@ -101,7 +100,7 @@ def all_fragments(texts: DataFrame, length: int) -> DataFrame:
 
 
 def sliced(items: DataFrame, width: int, length: int) -> DataFrame:
-    """The items with their bytes, cut into slices of ``width`` starts, filed under the bytes that all their strings share."""
+    """The items with their bytes, cut into slices of ``width`` distances from the pivot, filed under the bytes that all strings at these distances share."""
     schema = items.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,21 +109,25 @@ def sliced(items: DataFrame, width: int, length: int) -> DataFrame:
                 continue
             flat, bounds = flat_bytes(batch.column("bytes"))
             sums = prefix_hashes(flat)
-            counts = batch.column("starts").to_numpy()
-            parts = -(-counts // width)
+            counts, pivots = (batch.column(c).to_numpy().astype(np.int64) for c in ("starts", "pivot"))
+            farthest = pivots // width
+            parts = farthest - (pivots - counts + 1) // width + 1
             owner = np.repeat(np.arange(len(counts)), parts)
-            shift = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * width
-            starts = np.minimum(width, counts[owner] - shift)
+            slot = farthest[owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+            pivot, count = pivots[owner], counts[owner]
+            far = np.minimum(pivot, slot * width + width - 1)
+            near = np.maximum(pivot - count + 1, slot * width)
+            shift, starts = pivot - far, far - near + 1
             first = bounds[owner] + shift
-            core = span_hashes(sums, first + starts - 1, first + length)
-            # Slices of different numbers of starts share a file only if a string can be in both.
+            shared = bounds[owner] + pivot - slot * width
+            core = span_hashes(sums, shared, shared - width + 1 + length)
             content = span_hashes(sums, first, first + starts + length - 1)
             data = flat.tobytes()
             cuts = [data[a : a + n + length - 1] for a, n in zip(first.tolist(), starts.tolist(), strict=True)]
             rows = pa.array(owner)
             at = batch.column("at").to_numpy()[owner] + shift
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(rows), batch.column("text_hash").take(rows), pa.array(at), pa.array(starts.astype(np.int32))]
+                [batch.column("key").take(rows), batch.column("text_hash").take(rows), pa.array(at), pa.array(starts.astype(np.int32)), pa.array(far.astype(np.int32))]
                 + [pa.array(core.view(np.int64)), pa.array(content.view(np.int64)), pa.array(cuts, pa.binary())],
                 names=schema.names,
             )
@@ -187,12 +190,11 @@ def judged(items: DataFrame, carried: list[str]) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(key, text_hash, start, stop)`` of bytes covered by repeated strings, for ``texts(key, text_hash, text)``; spans may overlap."""
-    names = ["key", "text_hash", "at", "starts", "file", "content"]
     items = cut_lineage(all_fragments(texts, length), "fragments")
-    told = cut_lineage(judged(items, names), "judged")
+    told = cut_lineage(judged(items, NAMES), "judged")
     whole = [told.where("n > 1")]
-    asked = told.where("first and contents > 1").groupBy("key", "text_hash").agg(F.collect_list(F.struct("at", "starts", "file", "content", "contents")).alias("asked"))
-    schema = T.StructType([told.schema[c] for c in names] + [T.StructField("bytes", T.BinaryType()), told.schema["contents"]])
+    asked = told.where("first and contents > 1").groupBy("key", "text_hash").agg(F.collect_list(F.struct(*NAMES[2:], "contents")).alias("asked"))
+    schema = T.StructType([told.schema[c] for c in NAMES] + [T.StructField("bytes", T.BinaryType()), told.schema["contents"]])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -206,7 +208,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
             cut = pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(rows), batch.column("text_hash").take(rows)] + [items.field(c) for c in names[2:]] + [cut, items.field("contents")],
+                [batch.column("key").take(rows), batch.column("text_hash").take(rows)] + [items.field(c) for c in NAMES[2:]] + [cut, items.field("contents")],
                 names=schema.names,
             )
 
@@ -219,7 +221,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         if crowded.isEmpty():
             break
         finer = cut_lineage(sliced(crowded.drop("contents"), width, length), "slices")
-        told = cut_lineage(judged(finer, [*names, "bytes"]), "judged")
+        told = cut_lineage(judged(finer, [*NAMES, "bytes"]), "judged")
         whole.append(told.where("n > 1"))
         open_files = told.where("first and contents > 1").drop("n", "first")
         crowds.append(open_files.where(F.col("contents") <= CROWD))
@@ -228,9 +230,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     found = whole[0].select(*span)
     for part in whole[1:]:
         found = found.union(part.select(*span))
-    together = crowds[0].select(*names, "bytes")
+    together = crowds[0].select(*NAMES, "bytes")
     for part in crowds[1:]:
-        together = together.union(part.select(*names, "bytes"))
+        together = together.union(part.select(*NAMES, "bytes"))
     return found.union(expanded(together, length))
 
 
