@@ -42,8 +42,6 @@ class CountTransducer:
     def _compile(self, words: np.ndarray, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Annotate the transitions that close the given words."""
         _, counts = merge_words(self.vocabulary, flat, starts, ends)
-        if len(self._words) + len(words) > ANNOTATIONS:
-            self._words, self._emits = self._words[:0], self._emits[:0]
         merged = np.concatenate([self._words, words])
         order = np.argsort(merged, kind="stable")
         self._words, self._emits = merged[order], np.concatenate([self._emits, counts])[order]
@@ -61,10 +59,9 @@ class CountTransducer:
         words, first, back = np.unique(span_hashes(prefix_hashes(flat), starts, ends), return_index=True, return_inverse=True)
         new = ~self._annotated(words)
         if new.any():
+            if len(self._words) + int(new.sum()) > ANNOTATIONS:  # start anew, with all words of these texts
+                self._words, self._emits, new = self._words[:0], self._emits[:0], np.ones(len(words), bool)
             self._compile(words[new], flat, starts[first[new]], ends[first[new]])
-            left = ~self._annotated(words)
-            if left.any():  # the bound was reached and older annotations went
-                self._compile(words[left], flat, starts[first[left]], ends[first[left]])
         emitted = self._emits[np.searchsorted(self._words, words)][back] if len(words) else np.empty(0, np.int64)
         row = owner[np.searchsorted(bounds, starts, "right") - 1]
         counts = np.bincount(row, weights=emitted, minlength=len(column)).astype(np.int64)
