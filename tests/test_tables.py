@@ -145,6 +145,46 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {(b or "", a) for a, b in want}
 
 
+def read_cells(spark, path, **options):
+    return sorted(tuple(r) for r in read_csv(spark, str(path), **options).collect())
+
+
+def test_csv_breaks_of_every_kind_inside_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'a,b\n"x\ry",1\r\n"p\r\nq",2\n"r\n\ns",3\n\nplain"quote,4\n')
+    assert read_cells(spark, tmp_path) == [("p\r\nq", "2"), ('plain"quote', "4"), ("r\n\ns", "3"), ("x\ry", "1")]
+
+
+def test_csv_columns_by_name_and_long_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,a,c\n3,4,5\n6\n")
+    df = read_csv(spark, str(tmp_path))
+    assert df.columns == ["a", "b", "c"]
+    assert sorted(df.collect(), key=str) == sorted([("1", "2", None), ("4", "3", "5"), (None, "6", None)], key=str)
+    (tmp_path / "c.csv").write_text("a,b\n7,8,9\n")
+    with pytest.raises(Exception, match="3 cells under 2 columns"):
+        read_csv(spark, str(tmp_path)).collect()
+    kept = read_csv(spark, str(tmp_path), keep_extra=True).filter("a = '7'").first()
+    assert kept["_extra_cells"] == ["9"]
+
+
+@pytest.mark.parametrize("chunk_lines", [1, 3])
+def test_csv_splits_give_the_same_rows(spark, tmp_path, monkeypatch, chunk_lines):
+    rng = random.Random(chunk_lines)
+    cells = ["x", "", "two\nlines", "\n\n\n", 'say ""hi""', "a,b", "c\rd", "long " * 40]
+    want = [(str(k), rng.choice(cells), rng.choice(cells)) for k in range(400)]
+    text = "id,one,two\n" + "".join(f'{i},"{a}","{b}"\n' for i, a, b in want)
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    monkeypatch.setattr("tidemill.sources.csv.CHUNK_LINES", chunk_lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = read_cells(spark, tmp_path, empty_as_null=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted((i, a.replace('""', '"'), b.replace('""', '"')) for i, a, b in want)
+
+
 def test_csv_in_latin_1(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("name\nJosé\n".encode("latin-1"))
     assert read_csv(spark, str(tmp_path), encoding="latin-1").first()["name"] == "José"
