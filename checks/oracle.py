@@ -10,6 +10,7 @@ from tidemill.functions import fixed_values as fixed
 
 from . import queries as q
 from .notes import duck_note
+from .rich_pages import URL, duck_blocks, duck_markdown, duck_text
 
 BLANKS = "'" + fixed.BLANKS + "'"
 
@@ -389,6 +390,12 @@ def oracle() -> dict[str, str]:
         "clean_drop_rename": f"with {DIRTY} select id, name, segment as market, balance from dirty",
         "clean_dataset": f"with {final}",
         "csv_job": f"with {final}",
+        "csv_job_profile": f"with {DIRTY} " + " union all ".join(
+            f"""select '{c}' as "column", count(*) as total_rows, count(*) filter ({strip(c)} <> '') as non_null,
+            count(*) filter ({strip(c)} = '') as null_count, count(distinct {c}) filter ({strip(c)} <> '') as unique_count,
+            '{'categorical' if c in ('name', 'segment') else 'numeric'}' as type from dirty"""
+            for c in COLUMNS
+        ),
         "clean_report": f"""with {DIRTY}, {STRIPPED}, kept as (select distinct * from stripped)
             select 'rows_removed' as change, '' as target, (select count(*) from stripped) - (select count(*) from kept) as n
             union all select 'cells_filled', 'segment', count(*) from kept where {is_blank('segment')}
@@ -473,9 +480,26 @@ def oracle() -> dict[str, str]:
             from dirty""",
         "json_array_sink": """select case when c_custkey = (select min(c_custkey) from customer) then '[' else ',' end as lead, *
             from customer""",
-        "doc_assemble": f"""with {TURNS} select source, (page_no - 1) // 4 as part,
-            string_agg(line, chr(10) || chr(10) order by page_no) as text, count(*) as pages, 'table' as extractor,
-            length(string_agg(line, chr(10) || chr(10) order by page_no)) as chars from lines group by all""",
+        "doc_assemble": f"""with {TURNS} select source, 0 as part, 1 as parts, string_agg(line, chr(10) || chr(10) order by page_no) as text,
+            count(*) as pages, 'table' as extractor, length(string_agg(line, chr(10) || chr(10) order by page_no)) as chars from lines group by source""",
+        "doc_assemble_parts": f"""with {TURNS}, p as (select source, (page_no - 1) // 4 as part,
+            string_agg(line, chr(10) || chr(10) order by page_no) as text from lines group by all)
+            select source, part, count(*) over (partition by source) as parts, text, sizes.pages, 'table' as extractor, sizes.chars
+            from p join sizes using (source)""",
+        "dedup_corpus": f"""with {TEXTS}, parts as (select id, unnest(string_split(text, chr(10) || chr(10))) as part,
+              unnest(range(len(string_split(text, chr(10) || chr(10))))) as pos from texts),
+            firsts as (select id, pos, part from (select *, row_number() over (partition by lower({strip('part')}) order by id, pos) as n
+              from parts where {strip('part')} <> '') where n = 1),
+            kept as (select id, string_agg(part, chr(10) || chr(10) order by pos) as text from firsts group by id)
+            select id, coalesce(kept.text, '') as text from (select id from texts) left join kept using (id)""",
+        "csv_mixed_headers": """select cast(s_suppkey as varchar) as id, s_name || chr(13) || '"x"' || chr(10) || ',' || s_suppkey as name,
+            case when s_suppkey % 2 = 1 then cast(s_nationkey as varchar) end as nation from supplier""",
+        "html_blocks_rich": duck_blocks(),
+        "html_markdown_rich": f"select o_orderkey as page_id, case when o_orderkey % 5 <> 0 then {duck_markdown()} end as markdown from orders",
+        "scrape_manifest_errors": f"""with m as (select o_orderkey as page_id, {duck_text(URL)} as url, {duck_markdown()} as markdown,
+              case when o_orderkey % 7 = 0 then 'timeout' when o_orderkey % 5 = 0 then 'no body' end as error from orders)
+            select page_id, url, case when error is null then 'success' else 'error' end as status, case when error is null then length(markdown) end as chars,
+              case when error is null then {FILE} end as file, error from m""",
         "doc_sizes": f"with {TURNS} select source, pages, chars from sizes",
         "doc_assemble_totals": f"""with {TURNS} select count(*) as documents, sum(pages) as pages,
             sum(chars) + 2 * (count(*) - 1) as chars from sizes""",
@@ -507,14 +531,14 @@ def oracle() -> dict[str, str]:
               select a.vec_id as query_id, b.vec_id, b.label,
                 list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (cast(z[1] as double) - z[2]) * (cast(z[1] as double) - z[2]))) as score
               from embeddings a cross join embeddings b),
-            ranked as (select *, row_number() over (partition by query_id order by score, vec_id) as rank from pairs)
+            ranked as (select *, row_number() over (partition by query_id order by round(score, 9), vec_id) as rank from pairs)
             select query_id, rank, vec_id, label, round(score, 6) as score from ranked where rank <= 4""",
         "semantic_query": f"""with {hashed('documents', 'doc_id', 'text', 'd')}, {hashed('benchmark', 'item_id', 'text', 'b')},
             d_all as (select doc_id, lang, bucket, coalesce(weight, 0) as weight from documents cross join (select unnest(range(64)) as bucket)
               left join d using (doc_id, bucket)),
             b_all as (select item_id, bucket, coalesce(weight, 0) as weight from benchmark cross join (select unnest(range(64)) as bucket)
               left join b using (item_id, bucket)),
-            scored as (select item_id, doc_id, lang, sum((cast(d_all.weight as double) - b_all.weight) * (cast(d_all.weight as double) - b_all.weight)) as score
+            scored as (select item_id, doc_id, lang, round(sum((cast(d_all.weight as double) - b_all.weight) * (cast(d_all.weight as double) - b_all.weight) order by bucket), 9) as score
               from d_all join b_all using (bucket) group by all),
             ranked as (select *, row_number() over (partition by item_id order by score, doc_id) as rank from scored)
             select item_id as query_id, rank, doc_id as chunk_id, lang, round(score, 6) as score from ranked where rank <= 4""",
@@ -533,7 +557,7 @@ def oracle() -> dict[str, str]:
           left join d using (chunk_no, bucket)),
         b_all as (select item_id, bucket, coalesce(weight, 0) as weight from benchmark cross join (select unnest(range(64)) as bucket)
           left join b using (item_id, bucket)),
-        scored as (select item_id, chunk_no, sum((cast(d_all.weight as double) - b_all.weight) * (cast(d_all.weight as double) - b_all.weight)) as score
+        scored as (select item_id, chunk_no, round(sum((cast(d_all.weight as double) - b_all.weight) * (cast(d_all.weight as double) - b_all.weight) order by bucket), 9) as score
           from d_all join b_all using (bucket) group by all),
         labeled as (select item_id, 'page_' || id || '.md_' || chunk_index as chunk_id, url as source, chunk as content, score
           from scored join chunks on chunk_no = id * 1000000 + chunk_index join pages on page_id = id),

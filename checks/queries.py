@@ -9,13 +9,15 @@ from tidemill.functions import chunking, cleaning, extraction, urls
 from tidemill.functions.embedding import hashing_embedding
 from tidemill.functions.html import html_blocks, html_to_markdown
 from tidemill.operators import api_records, crawl, documents, profile, reports, table_cleaning
+from tidemill.operators.corpus_dedup import dedup_corpus as dedup_corpus_
 from tidemill.operators.aggregate import AGGREGATES, group_aggregate
 from tidemill.operators.vector_search import nearest
 from tidemill.plans import jobs
-from tidemill.session import cut_lineage, scratch_path, spread
+from tidemill.session import cut_lineage, scratch_path
 from tidemill.sources import csv, sinks, texts
 
 from .notes import spark_note
+from .rich_pages import rich_pages
 
 CHUNK_WORDS = (100, 20)
 CHUNK_CHARACTERS = (300, 60)
@@ -42,6 +44,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables lie in single row groups, so in single tasks: their rows over all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Inputs derived from the tables -------------------------------------------------
 
 
@@ -126,7 +134,7 @@ def api_pages(spark, sf) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit('{"next":null,"data":['), item("signup"), F.lit("]}")))
         .otherwise('{"results":null,"data":[1]}')
     )
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         F.concat(F.lit("https://api.example.org/users/"), F.col("user_id").cast("string")).alias("endpoint"),
         (F.floor(F.col("value") / 10) + 1).cast("int").alias("page"),
         body.alias("body"),
@@ -172,6 +180,20 @@ def csv_roundtrip(spark, sf):
     return csv.read_csv(spark, path, empty_as_null=False)
 
 
+@query
+def csv_mixed_headers(spark, sf):
+    """Files with other columns in another order, and line breaks of both kinds inside cells."""
+    path = scratch_path(spark, "csv-headers")
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.concat(F.col("s_name"), F.lit('\r"x"\n,'), F.col("s_suppkey").cast("string")).alias("name"),
+        F.col("s_nationkey").cast("string").alias("nation"),
+    )
+    csv.write_csv(suppliers.filter("id % 2 = 0"), f"{path}/even", ["id", "name"])
+    csv.write_csv(suppliers.filter("id % 2 = 1"), f"{path}/odd", ["nation", "name", "id"])
+    return csv.read_csv(spark, f"{path}/*").select("id", "name", "nation")
+
+
 @query
 def clean_strip(spark, sf):
     return table_cleaning.strip_all(dirty_customers(spark, sf))
@@ -215,6 +237,14 @@ def csv_job(spark, sf):
     return cleaned
 
 
+@query
+def csv_job_profile(spark, sf):
+    source, target = scratch_path(spark, "csv-job-in"), scratch_path(spark, "csv-job-out")
+    csv.write_csv(dirty_customers(spark, sf), source)
+    profiled, _ = jobs.csv_job(spark, source, target, CLEANING)
+    return profiled.select("column", "total_rows", "non_null", "null_count", "unique_count", "type")
+
+
 def _register_aggregates():
     for function in AGGREGATES:
 
@@ -314,6 +344,11 @@ def clean_corpus(spark, sf):
     return jobs.clean_corpus(text_corpus(spark, sf))
 
 
+@query
+def dedup_corpus(spark, sf):
+    return dedup_corpus_(text_corpus(spark, sf), "id")
+
+
 @query
 def cleaning_reduction(spark, sf):
     corpus = table(spark, sf, "documents").withColumn("cleaned", cleaning.clean_text(F.col("text")))
@@ -459,7 +494,7 @@ def json_array_sink(spark, sf):
     rows = table(spark, sf, "customer")
     sinks.save_records(rows, path, "json", order_by="c_custkey")
     lines = spark.read.text(path).filter(F.col("value") != "]")
-    record = F.from_json(F.substring("value", 2, 1_000_000), rows.schema)
+    record = F.from_json(F.substring("value", F.lit(2), F.length("value")), rows.schema)
     return lines.select(F.left("value", F.lit(1)).alias("lead"), record.alias("r")).select("lead", "r.*")
 
 
@@ -468,6 +503,11 @@ def json_array_sink(spark, sf):
 
 @query
 def doc_assemble(spark, sf):
+    return documents.assemble_documents(conversation_pages(spark, sf))
+
+
+@query
+def doc_assemble_parts(spark, sf):
     return documents.assemble_documents(conversation_pages(spark, sf), pages_per_part=4)
 
 
@@ -526,6 +566,23 @@ def scrape_manifest(spark, sf):
     return crawl.page_manifest(files, keep=["page_id"])
 
 
+@query
+def html_blocks_rich(spark, sf):
+    rich = spread(rich_pages(table(spark, sf, "orders")))
+    return rich.select("page_id", F.posexplode(html_blocks(F.col("html"))).alias("position", "block")).select("page_id", "position", "block.tag", "block.text")
+
+
+@query
+def html_markdown_rich(spark, sf):
+    return spread(rich_pages(table(spark, sf, "orders"))).select("page_id", html_to_markdown(F.col("html")).alias("markdown"))
+
+
+@query
+def scrape_manifest_errors(spark, sf):
+    files = crawl.page_files(spread(rich_pages(table(spark, sf, "orders"))), keep=["page_id"])
+    return crawl.page_manifest(files, keep=["page_id"])
+
+
 @query
 def manifest_last_wins(spark, sf):
     crawled = pages(spark, sf).unionAll(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import md5
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,17 +32,29 @@ def hash_text(text: str, dimension: int, hash_of: Callable[[str], int] = word_ha
     return (counts / length if length else counts).astype(np.float32)
 
 
+def hash_texts(texts: list[str | None], dimension: int, hash_of: Callable[[str], int] = word_hash) -> list[np.ndarray | None]:
+    """:func:`hash_text` of many texts at once; NULL stays NULL."""
+    words = [[] if t is None else t.lower().split() for t in texts]
+    row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    codes, distinct = pd.factorize(np.array(list(chain.from_iterable(words)), dtype=object))
+    bucket = np.fromiter(map(hash_of, distinct), dtype=np.int64, count=len(distinct)) % dimension
+    counts = np.bincount(row * dimension + bucket[codes], minlength=len(texts) * dimension).reshape(len(texts), dimension)
+    length = np.sqrt((counts * counts).sum(axis=1).astype(float))
+    scaled = (counts / np.where(length, length, 1.0)[:, None]).astype(np.float32)
+    return [None if t is None else scaled[k] for k, t in enumerate(texts)]
+
+
 def hashing_embedding(c: Column, dimension: int = DIMENSION) -> Column:
     """Deterministic feature hashing.
 
-    An Arrow UDF, because words repeat: a cached lookup per word beats hashing
-    every word again inside array lambdas.
+    An Arrow UDF, because words repeat: each distinct word of a batch is
+    hashed once, and one count over rows and buckets gives all vectors.
     """
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hash_of = lru_cache(maxsize=CACHED_WORDS)(word_hash)
         for texts in batches:
-            yield texts.map(lambda t: None if t is None else hash_text(t, dimension, hash_of))
+            yield pd.Series(hash_texts(texts.tolist(), dimension, hash_of), index=texts.index, dtype=object)
 
     return embed.asNondeterministic()(c)  # so that no filter evaluates it again

@@ -24,7 +24,7 @@ NUMBER = (
 )
 
 # Text cleaning.
-EXCESS_NEWLINES = r"\n\n\n+"
+EXCESS_NEWLINES = r"\n{3,}"
 BLANK_STRETCH = r"[ \t][ \t]+|\t"  # a single space would be replaced by itself
 BLANKS_AROUND_NEWLINE = r" \n ?|\n "  # blank stretches are single spaces by then
 HTML_TAG = r"<[^>]+>"
@@ -73,6 +73,7 @@ DATE_MONTH_FIRST = (
 DATE_DAY_FIRST = (
     r"(?U)(?iu)\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{4}"
 )
+# The signs stand apart from the digits: each sign is also the word that a text is searched for before its pattern runs.
 MONEY_PREFIXES = {"$": "USD", "€": "EUR", "£": "GBP"}
 MONEY_AFTER_PREFIX = r"[\d,]+(?:\.\d{2})?"
 MONEY_CODES = ["USD", "EUR", "GBP", "INR"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json_pages import page_envelope, page_items, parse_body, record_field
 from ..functions.urls import page_url
-from ..session import spread
+from ..session import cut_lineage
 from .lookup import join_per_key
 
 MAX_PAGES = 10
@@ -31,7 +31,7 @@ def unwrap_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     ``items`` is NULL for a response without a list; the page cap reaches the
     scan before any body is parsed.
     """
-    wanted = spread(pages.filter(F.col("page").between(1, max_pages)))
+    wanted = pages.filter(F.col("page").between(1, max_pages))
     parsed = wanted.select("endpoint", "page", "body", parse_body(F.col("body")).alias("parsed"))
     opened = parsed.withColumn("envelope", page_envelope(F.col("parsed")))
     failed = F.col("body").isNull() | F.col("parsed").isNull()
@@ -42,12 +42,12 @@ def unwrap_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
 
 
 def first_missing_page(unwrapped: DataFrame) -> DataFrame:
-    """``(endpoint, stop)``: the first page number without items, landed or not.
+    """``(endpoint, stop)``: the first page number without items, landed or not, of ``(endpoint, page, full)``.
 
     Only page numbers move.  They are keyed by endpoint and page, so an
     endpoint with a large share of the pages spreads over all tasks.
     """
-    full = F.coalesce(F.size("items") > 0, F.lit(False))
+    full = F.col("full")
     page = F.col("page").cast("int")
 
     def mark(number, here: int):
@@ -67,9 +67,15 @@ def first_missing_page(unwrapped: DataFrame) -> DataFrame:
 
 
 def pages_until_empty(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Pages ``(endpoint, page, items)`` before the first one without items."""
-    unwrapped = unwrap_pages(pages, max_pages)
-    kept = join_per_key(unwrapped, first_missing_page(unwrapped), "endpoint", salt_by=F.col("page"))
+    """Pages ``(endpoint, page, items)`` before the first one without items.
+
+    Bodies are parsed once and their items written once; the stop rule reads
+    page numbers from there and the result the items.
+    """
+    opened = unwrap_pages(pages, max_pages).select("endpoint", "page", "items")
+    parsed = cut_lineage(opened.withColumn("full", F.coalesce(F.size("items") > 0, F.lit(False))), "pages")
+    stops = first_missing_page(parsed.select("endpoint", "page", "full"))
+    kept = join_per_key(parsed.drop("full"), stops, "endpoint", salt_by=F.col("page"))
     return kept.filter(F.col("page") < F.col("stop")).select("endpoint", "page", "items")
 
 

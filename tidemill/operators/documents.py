@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.blank import is_blank, strip
 
-PAGES_PER_PART = 1000
-
 
 def page_lines(pages: DataFrame) -> DataFrame:
     """``(source, page_no, line)`` of the pages that are not blank, each under its marker."""
@@ -16,30 +14,27 @@ def page_lines(pages: DataFrame) -> DataFrame:
     return pages.filter(~is_blank(F.col("text"))).select("source", "page_no", line.alias("line"))
 
 
-def assemble_documents(
-    pages: DataFrame, extractor: str = "table", pages_per_part: int = PAGES_PER_PART
-) -> DataFrame:
-    """``(source, part, text, pages, extractor, chars)``.
+def assemble_documents(pages: DataFrame, extractor: str = "table", pages_per_part: int | None = None) -> DataFrame:
+    """``(source, part, parts, text, pages, extractor, chars)``: one row per document.
 
-    A document of up to ``pages_per_part`` pages is one row.  A longer one
-    continues in further parts, whose texts joined by a blank line in order of
-    ``part`` are the document: no task ever holds more than one part, and one
-    huge source spreads over as many tasks as it has parts.
+    ``pages`` and ``chars`` are those of the document.  Only on request, by
+    ``pages_per_part``, a document comes as rows of so many page numbers each;
+    their texts joined by a blank line in order of ``part`` are the document,
+    and every row carries the figures of the whole and the number of its parts.
     """
-    part = F.floor((F.col("page_no") - 1) / pages_per_part)
+    lines = page_lines(pages)
     in_order = F.sort_array(F.collect_list(F.struct("page_no", "line")))
-    return (
-        page_lines(pages)
-        .groupBy("source", part.alias("part"))
-        .agg(
-            F.array_join(F.transform(in_order, lambda p: p["line"]), "\n\n").alias("text"),
-            F.count("*").alias("pages"),
-        )
-        .select(
-            "source", "part", "text", "pages", F.lit(extractor).alias("extractor"),
-            F.length("text").cast("bigint").alias("chars"),
-        )
+    text = F.array_join(F.transform(in_order, lambda p: p["line"]), "\n\n").alias("text")
+    figures = [F.lit(extractor).alias("extractor"), F.col("chars").cast("bigint").alias("chars")]
+    if pages_per_part is None:
+        whole = lines.groupBy("source").agg(text, F.count("*").alias("pages")).withColumn("chars", F.length("text"))
+        return whole.select("source", F.lit(0).cast("bigint").alias("part"), F.lit(1).cast("bigint").alias("parts"), "text", "pages", *figures)
+    part = F.floor((F.col("page_no") - 1) / pages_per_part)
+    rows = lines.groupBy("source", part.alias("part")).agg(text, F.count("*").alias("_pages"), F.sum(F.length("line")).alias("_chars"))
+    sizes = rows.groupBy("source").agg(
+        F.count("*").alias("parts"), F.sum("_pages").alias("pages"), (F.sum("_chars") + 2 * (F.sum("_pages") - 1)).alias("chars")
     )
+    return rows.join(sizes, "source").select("source", "part", "parts", "text", "pages", *figures)
 
 
 def document_sizes(pages: DataFrame) -> DataFrame:

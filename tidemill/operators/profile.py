@@ -9,8 +9,13 @@ through a per-task heap, and the median narrows histograms of bounded size.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.blank import is_blank, to_number
 from ..session import cut_lineage
@@ -172,22 +177,29 @@ def first_values(
 ) -> DataFrame:
     """``(column, rank, value)``: the first ``k`` values that are not blank, for each column.
 
-    One ordered limit per column keeps a heap of ``k`` rows per task and reads
-    that column alone.
+    The table is read once, however many columns there are: every task keeps
+    ``k`` cells per column and passes them on.
     """
-    parts = []
-    for name in columns:
-        cells = df.select(
-            F.lit(name).alias("column"), order_by.alias("_order"), F.col(name).cast("string").alias("value")
-        )
-        parts.append(cells.filter(~is_blank(F.col("value"))).orderBy("_order").limit(k))
-    if not parts:
+    if not columns:
         return df.sparkSession.createDataFrame([], "column string, rank int, value string")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionAll(part)
+    cells = df.select(order_by.alias("_order"), *[F.when(~is_blank(F.col(c).cast("string")), F.col(c).cast("string")).alias(c) for c in columns])
+    schema = StructType([StructField("column", StringType()), cells.schema["_order"], StructField("value", StringType())])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, pa.Table] = {}
+        for batch in batches:
+            for name in columns:
+                part = pa.table({"_order": batch.column("_order"), "value": batch.column(name).cast(pa.string())})
+                part = part.filter(pc.is_valid(part["value"]))
+                if part.num_rows:
+                    both = pa.concat_tables([held[name], part]) if name in held else part
+                    held[name] = both.take(pc.select_k_unstable(both, k, [("_order", "ascending")]))
+        for name, part in held.items():
+            yield from part.select(["_order", "value"]).add_column(0, "column", pa.array([name] * part.num_rows)).to_batches()
+
+    rows = cells.mapInArrow(keep, schema)
     order = Window.partitionBy("column").orderBy("_order")
-    return rows.select("column", F.row_number().over(order).alias("rank"), "value")
+    return rows.select("column", F.row_number().over(order).alias("rank"), "value").filter(F.col("rank") <= k)
 
 
 def profile_table(df: DataFrame, order_by: Column, columns: list[str] | None = None) -> DataFrame:
@@ -208,7 +220,7 @@ def profile_table(df: DataFrame, order_by: Column, columns: list[str] | None = N
     parts = [median(counts, base), standard_deviation(counts, base), top, sample]
     whole = base
     for part in parts:
-        whole = whole.join(F.broadcast(part), "column", "left")  # one row per column
+        whole = whole.join(part, "column", "left")
     return whole.select(
         "column", "total_rows", "non_null", "null_count", "null_pct", "unique_count", "type",
         "min", "max", F.round("exact_mean", 2).alias("mean"), F.round("median", 2).alias("median"),

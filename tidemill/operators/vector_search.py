@@ -3,7 +3,8 @@
 Each task scores its Arrow batches against the query vectors with a matrix
 product and keeps ``k`` rows per query, so what is shuffled is ``k`` rows per
 query and task, whatever the size of the store.  No pair of store row and query
-ever becomes a row.
+ever becomes a row.  The search reads ids and vectors only; the other columns
+of the hits are fetched at the end.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import cut_lineage
+
 TOP_K = 4
 # Query vectors sent to every task: at most this many rows and bytes.
 QUERY_ROWS = 2048
@@ -24,8 +28,16 @@ QUERY_BYTES = 64 << 20
 # Store rows in one cell of the blocked search.
 CELL_ROWS = 20_000
 MERGE_GROUPS = 256
+# Distances measured at once in a task.
+TILE = 4 << 20
+# Hits sent to every task to fetch their columns: at most this many.
+HIT_ROWS = 200_000
+# Distances count as equal if they agree to this many decimals, so that no order of summation decides a rank.
+DECIMALS = 9
 # Relative slack that covers rounding of the matrix product.
 SLACK = 1e-9
+# Rounding may lift a distance by half a unit, on both sides of a comparison.
+ROUNDING = 10.0**-DECIMALS
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -54,15 +66,23 @@ def _closest(
         raise ValueError(f"store dimension {vectors.shape[1]}, query dimension {queries.shape[1]}")
     v2, q2 = (vectors**2).sum(axis=1), (queries**2).sum(axis=1)
     rough = q2[:, None] + v2[None, :] - 2.0 * (queries @ vectors.T)
-    slack = SLACK * (q2 + v2.max())
+    slack = SLACK * (q2 + v2.max()) + ROUNDING
     limit = beyond
     if len(vectors) > k:
         limit = np.minimum(beyond, np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)
     query, row = np.nonzero(rough <= (limit + slack)[:, None])
-    exact = ((vectors[row] - queries[query]) ** 2).sum(axis=1)
+    exact = np.round(((vectors[row] - queries[query]) ** 2).sum(axis=1), DECIMALS)
     return query, row, exact
 
 
+def _cut(query: np.ndarray, score: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """Which candidates are among the ``k`` nearest of their query, ties by ``place``."""
+    order = np.lexsort((place, score, query))
+    ordered = query[order]
+    first = np.searchsorted(ordered, ordered, side="left")
+    return order[np.arange(len(order)) - first < k]
+
+
 def _keep(table: pa.Table, k: int, id_column: str) -> pa.Table:
     """The ``k`` nearest rows of each query, ties by id."""
     table = table.sort_by([("query_at", "ascending"), ("score", "ascending"), (id_column, "ascending")])
@@ -81,10 +101,17 @@ def _scored(
         batch = batch.filter(batch[vector].is_valid())
         if not batch.num_rows:
             continue
-        query, row, score = _closest(_matrix(batch[vector]), queries, k, beyond)
-        found = pa.Table.from_batches([batch.drop_columns([vector])]).take(pa.array(row))
-        found = found.append_column("query_at", pa.array(query, pa.int64()))
-        found = found.append_column("score", pa.array(score, pa.float64()))
+        ids = batch[id_column]
+        place = np.empty(len(ids), np.int64)
+        place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        matrix, tiles = _matrix(batch[vector]), []
+        step = max(1, TILE // len(matrix))
+        for at in range(0, len(queries), step):  # ties are cut to k before anything is taken
+            query, row, score = _closest(matrix, queries[at : at + step], k, beyond[at : at + step])
+            kept = _cut(query, score, place[row], k)
+            tiles.append((query[kept] + at, row[kept], score[kept]))
+        query, row, score = (np.concatenate(x) for x in zip(*tiles, strict=True))
+        found = pa.table({id_column: ids.take(pa.array(row)), "query_at": pa.array(query, pa.int64()), "score": pa.array(score, pa.float64())})
         best = _keep(found if best is None else pa.concat_tables([best, found]), k, id_column)
         at, scores = best["query_at"].to_numpy(), best["score"].to_numpy()
         full = np.flatnonzero(np.bincount(at, minlength=len(queries)) == k)
@@ -111,24 +138,30 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank``, the store's columns without the vector, and ``score``.
 
-    ``queries`` holds ``(query_id, embedding)``.  Query vectors within the
-    bounds on rows and bytes go to every task with the function; more of them
-    are searched block by block.  Rows without a vector have no neighbours.
+    ``queries`` holds ``(query_id, embedding)`` and is evaluated once.  Query
+    vectors within the bounds on rows and bytes go to every task with the
+    function; more of them are searched block by block.  Rows without a vector
+    have no neighbours.  Ids name the rows of the store.
     """
-    queries = queries.select("query_id", "embedding")
-    payload = [f for f in store.schema.fields if f.name != vector]
+    queries = cut_lineage(queries.select("query_id", "embedding"), "queries")
+    payload = [f for f in store.schema.fields if f.name not in (vector, id_column)]
     query_field = StructField("query_id", queries.schema["query_id"].dataType)
-    schema = StructType([query_field, *payload, StructField("score", DoubleType())])
-    first = queries.limit(query_rows + 1).toArrow()
-    if first.num_rows <= query_rows and first.nbytes <= QUERY_BYTES:
-        partial = _search_with_all(store, first, k, id_column, vector, schema)
+    schema = StructType([query_field, store.schema[id_column], StructField("score", DoubleType())])
+    narrow = store.select(id_column, vector)
+    size = queries.agg(F.count("*").alias("rows"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width")).first()
+    if size["rows"] <= query_rows and size["rows"] * size["width"] * 4 <= QUERY_BYTES:
+        partial = _search_with_all(narrow, queries.toArrow(), k, id_column, vector, schema)
     else:
-        size = queries.agg(F.count("*").alias("rows"), F.max(F.size("embedding")).alias("width")).first()
         per_block = max(1, min(query_rows, QUERY_BYTES // (4 * max(size["width"], 1))) // 2)
         blocks = ceil(size["rows"] / per_block)
-        partial = _search_blocks(store, queries, k, id_column, vector, schema, blocks, cell_rows)
-    names = [f.name for f in payload]
-    return _merge(partial, k, id_column).select("query_id", "rank", *names, "score")
+        partial = _search_blocks(narrow, queries, k, id_column, vector, schema, blocks, cell_rows)
+    hits = _merge(partial, k, id_column).select("query_id", "rank", id_column, "score")
+    if not payload:
+        return hits
+    hits = cut_lineage(hits, "hits")
+    side = F.broadcast(hits) if hits.count() <= HIT_ROWS else hits
+    names = [f.name for f in store.schema.fields if f.name != vector]
+    return store.drop(vector).join(side, id_column).select("query_id", "rank", *names, "score")
 
 
 def _search_with_all(store, rows, k, id_column, vector, schema) -> DataFrame:

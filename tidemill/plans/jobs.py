@@ -16,7 +16,7 @@ from ..operators.api_records import MAX_PAGES, project_fields, records
 from ..operators.profile import profile_table
 from ..operators.table_cleaning import TableCleaning, clean_table
 from ..operators.vector_search import TOP_K, nearest
-from ..session import cut_lineage, spread
+from ..session import cut_lineage
 from ..sources.csv import read_csv, write_csv
 from ..sources.sinks import build_store, read_store, save_records
 
@@ -41,12 +41,12 @@ def clean_corpus(
     documents: DataFrame, text: str = "text", options: CleaningOptions = CleaningOptions()
 ) -> DataFrame:
     """The documents with ``text`` cleaned and rid of repeated paragraphs."""
-    return spread(documents).withColumn(text, deduplicate_paragraphs(clean_text(F.col(text), options)))
+    return documents.withColumn(text, deduplicate_paragraphs(clean_text(F.col(text), options)))
 
 
 def extract_corpus(documents: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One extraction record per document, next to the columns to ``keep``."""
-    return spread(documents).select(*keep, extract_all(F.col(text)).alias("record"))
+    return documents.select(*keep, extract_all(F.col(text)).alias("record"))
 
 
 def api_to_dataset(
@@ -58,7 +58,7 @@ def api_to_dataset(
 
 def chunk_documents(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = OVERLAP) -> DataFrame:
     """``(chunk_id, source, chunk_index, content)`` of documents ``(content, source, filename)``."""
-    split = spread(documents).select(
+    split = documents.select(
         "source", "filename", F.posexplode(chunk_characters(F.col("content"), size, overlap)).alias("chunk_index", "content")
     )
     chunk_id = F.concat_ws("_", "filename", F.col("chunk_index").cast("string"))
@@ -70,7 +70,7 @@ def web_documents(pages: DataFrame) -> DataFrame:
 
     Each page stays in its row from HTML to cleaned text: nothing shuffles.
     """
-    blocks = spread(pages).select("page_id", "url", html_blocks(F.col("html")).alias("blocks"))
+    blocks = pages.select("page_id", "url", html_blocks(F.col("html")).alias("blocks"))
     return blocks.filter(F.size("blocks") > 0).select(
         deduplicate_paragraphs(clean_markdown(render_markdown(F.col("blocks")))).alias("content"),
         F.col("url").alias("source"),

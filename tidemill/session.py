@@ -54,17 +54,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores, before work that costs much per row.
-
-    An input below one split per core may sit in a single row group and so in a
-    single task.  Larger inputs have splits enough and do not move.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
