@@ -11,59 +11,59 @@ from tidemill.operators.table_cleaning import TableCleaning, clean_table, cleani
 from tidemill.plans.jobs import csv_job
 from tidemill.sources.csv import read_csv, write_csv
 
-HEADER = ["name", "department", "salary", "city", "start_date"]
-EMPLOYEES = [
-    ("John Smith", "Engineering", "95000", "San Francisco", "2022-03-15"),
-    ("Sarah Johnson", "Marketing", "82000", "New York", "2021-06-01"),
-    ("Michael Chen", "Engineering", "105000", "San Francisco", "2020-11-20"),
-    ("Emily Davis", "Marketing", "78000", "New York", "2023-01-10"),
-    ("John Smith", "Engineering", "95000", "San Francisco", "2022-03-15"),
-    ("Robert Wilson", "Sales", "", "Chicago", "2022-08-05"),
-    ("Lisa Anderson", "Engineering", "98000", "", "2021-04-12"),
-    ("David Brown", "Sales", "72000", "Chicago", "2023-03-01"),
-    ("Jennifer Lee", "Marketing", "85000", "New York", ""),
-    ("Tom Harris", "Engineering", "110000", "San Francisco", "2020-07-18"),
+HEADER = ["keeper", "section", "hours", "site", "since"]
+STAFF = [
+    ("Ada Quill", "Foundry", "41", "Harbour", "2019-02-11"),
+    ("Ben Oakes", "Archive", "37", "Hillside", "2020-05-03"),
+    ("Cleo Marsh", "Foundry", "52", "Harbour", "2018-09-27"),
+    ("Dov Lind", "Archive", "33", "Hillside", "2022-12-01"),
+    ("Ada Quill", "Foundry", "41", "Harbour", "2019-02-11"),
+    ("Eve Thorn", "Garden", "", "Lakeside", "2021-07-19"),
+    ("Finn Gray", "Foundry", "45", "", "2020-01-08"),
+    ("Gil Stone", "Garden", "29", "Lakeside", "2023-04-14"),
+    ("Hana Reed", "Archive", "38", "Hillside", ""),
+    ("Ivo Birch", "Foundry", "58", "Harbour", "2017-06-30"),
 ]
-CLEANING = TableCleaning(fill_nulls={"city": "Unknown", "start_date": "N/A"})
+CLEANING = TableCleaning(fill_nulls={"site": "Unknown", "since": "N/A"})
 
 
 @pytest.fixture(scope="module")
-def employees(spark):
-    rows = [(i, *r) for i, r in enumerate(EMPLOYEES)]
+def staff(spark):
+    rows = [(i, *r) for i, r in enumerate(STAFF)]
     return spark.createDataFrame(rows, "row long, " + ", ".join(f"{h} string" for h in HEADER))
 
 
-def test_cleaned_employees(employees):
-    cleaned = clean_table(employees.drop("row"), CLEANING)
+def test_cleaned_staff(staff):
+    cleaned = clean_table(staff.drop("row"), CLEANING)
     rows = {tuple(r) for r in cleaned.collect()}
     assert cleaned.count() == 9 == len(rows)
-    assert ("Lisa Anderson", "Engineering", "98000", "Unknown", "2021-04-12") in rows
-    assert ("Jennifer Lee", "Marketing", "85000", "New York", "N/A") in rows
-    report = {(r["change"], r["target"]): r["n"] for r in cleaning_report(employees.drop("row"), CLEANING).collect()}
-    assert report == {("rows_removed", ""): 1, ("cells_filled", "city"): 1, ("cells_filled", "start_date"): 1}
+    assert ("Finn Gray", "Foundry", "45", "Unknown", "2020-01-08") in rows
+    assert ("Hana Reed", "Archive", "38", "Hillside", "N/A") in rows
+    report = {(r["change"], r["target"]): r["n"] for r in cleaning_report(staff.drop("row"), CLEANING).collect()}
+    assert report == {("rows_removed", ""): 1, ("cells_filled", "site"): 1, ("cells_filled", "since"): 1}
     assert clean_table(cleaned, CLEANING).count() == 9
 
 
-def test_mean_salary(employees):
-    rows = group_aggregate(clean_table(employees.drop("row"), CLEANING), "department", "salary", "mean").collect()
-    assert [tuple(r) for r in rows] == [("Engineering", 102000.0, 4), ("Marketing", 81666.67, 3), ("Sales", 72000.0, 1)]
+def test_mean_hours(staff):
+    rows = group_aggregate(clean_table(staff.drop("row"), CLEANING), "section", "hours", "mean").collect()
+    assert [tuple(r) for r in rows] == [("Archive", 36.0, 3), ("Foundry", 49.0, 4), ("Garden", 29.0, 1)]
 
 
 @pytest.mark.parametrize("partitions", [1, 8])
-def test_employee_profile(employees, partitions):
-    shuffled = employees.repartition(partitions, "salary")
+def test_staff_profile(staff, partitions):
+    shuffled = staff.repartition(partitions, "hours")
     p = {r["column"]: r for r in profile.profile_table(shuffled, F.col("row"), HEADER).collect()}
-    salary = p["salary"]
-    assert (salary["total_rows"], salary["non_null"], salary["null_count"], salary["null_pct"]) == (10, 9, 1, 10.0)
-    assert (salary["unique_count"], salary["type"], salary["min"], salary["max"]) == (8, "numeric", 72000.0, 110000.0)
-    assert (salary["mean"], salary["median"], salary["stdev"]) == (91111.11, 95000.0, 12673.24)
-    assert salary["top_5"] is None and salary["sample"] is None
-    department = p["department"]
-    assert department["type"] == "categorical" and department["mean"] is None
-    assert [tuple(t) for t in department["top_5"]] == [("Engineering", 5), ("Marketing", 3), ("Sales", 2)]
-    assert department["sample"] == ["Engineering", "Marketing", "Engineering"]
-    names = [t["value"] for t in p["name"]["top_5"]]
-    assert names == ["John Smith", "Sarah Johnson", "Michael Chen", "Emily Davis", "Robert Wilson"]
+    hours = p["hours"]
+    assert (hours["total_rows"], hours["non_null"], hours["null_count"], hours["null_pct"]) == (10, 9, 1, 10.0)
+    assert (hours["unique_count"], hours["type"], hours["min"], hours["max"]) == (8, "numeric", 29.0, 58.0)
+    assert (hours["mean"], hours["median"], hours["stdev"]) == (41.56, 41.0, 9.06)
+    assert hours["top_5"] is None and hours["sample"] is None
+    section = p["section"]
+    assert section["type"] == "categorical" and section["mean"] is None
+    assert [tuple(t) for t in section["top_5"]] == [("Foundry", 5), ("Archive", 3), ("Garden", 2)]
+    assert section["sample"] == ["Foundry", "Archive", "Foundry"]
+    keepers = [t["value"] for t in p["keeper"]["top_5"]]
+    assert keepers == ["Ada Quill", "Ben Oakes", "Cleo Marsh", "Dov Lind", "Eve Thorn"]
 
 
 def test_profile_of_blank_and_half_numeric_columns(spark):
@@ -192,10 +192,10 @@ def test_csv_in_latin_1(spark, tmp_path):
 
 def test_csv_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    lines = [",".join(HEADER)] + [",".join(r) for r in EMPLOYEES]
+    lines = [",".join(HEADER)] + [",".join(r) for r in STAFF]
     (tmp_path / "in" / "e.csv").write_text("\n".join(lines), encoding="utf-8")
     profiled, cleaned = csv_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), CLEANING)
     p = {r["column"]: r for r in profiled.collect()}
-    assert p["salary"]["median"] == 95000.0
-    assert p["department"]["sample"] == ["Engineering", "Marketing", "Engineering"]
+    assert p["hours"]["median"] == 41.0
+    assert p["section"]["sample"] == ["Foundry", "Archive", "Foundry"]
     assert cleaned.count() == 9

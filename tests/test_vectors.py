@@ -12,7 +12,8 @@ SCHEMA = "chunk_id long, source string, embedding array<float>"
 def brute(store, queries, k):
     want = []
     for query_id, q in queries:
-        scored = sorted((float(((np.asarray(v, np.float32).astype(float) - np.asarray(q, np.float32).astype(float)) ** 2).sum()), i) for i, _, v in store)
+        exact = [(float(((np.asarray(v, np.float32).astype(float) - np.asarray(q, np.float32).astype(float)) ** 2).sum()), i) for i, _, v in store]
+        scored = sorted((round(score, 9), i) for score, i in exact)  # ranks go by distances of nine decimals
         want += [(query_id, rank, i) for rank, (_, i) in enumerate(scored[:k], 1)]
     return want
 
@@ -75,3 +76,12 @@ def test_web_pages_to_search(spark, tmp_path):
     assert set(documents) == {"page_0.md", "page_1.md"}
     with pytest.raises(ValueError):
         jobs.build_web_store(pages.filter("page_id = 2"), str(tmp_path / "none"))
+
+
+def test_many_equal_vectors_are_cut_before_they_are_taken(spark):
+    store = spark.range(10_000).select(F.col("id").alias("chunk_id"), F.lit("s").alias("source"), F.lit("text " * 50).alias("content"), F.array(F.lit(0.0).cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    queries = spark.range(50).select(F.col("id").alias("query_id"), F.array(F.lit(1.0).cast("float"), F.lit(0.0).cast("float")).alias("embedding"))
+    found = nearest(store, queries, 4)
+    rows = found.orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["rank"], r["chunk_id"]) for r in rows] == [(q, k + 1, k) for q in range(50) for k in range(4)]
+    assert rows[0]["content"] == "text " * 50
