@@ -449,7 +449,6 @@ def oracle() -> dict[str, str]:
             array_to_string(pairs, '|') as key_value_pairs from entities""",
         "extract_totals": f"""with {TEXTS}, {PAIRS}, {ENTITIES} select count(*) as texts, cast(sum({TOTAL}) as bigint) as entities
             from entities""",
-        "extraction_sink": f"with {TEXTS}, {PAIRS}, {ENTITIES} select id, {TOTAL} as entities from entities",
         "entity_counts": f"with {TEXTS}, {PAIRS}, {ENTITIES} "
         + " union all ".join(
             f"select '{k}' as kind, cast(sum(len({c})) as bigint) as n, count(*) filter (len({c}) > 0) as texts from entities"
@@ -506,8 +505,7 @@ def oracle() -> dict[str, str]:
         "doc_dir_summary": """select role, count(*) as pages, sum(length(text)) as chars, 0 as errors from conversations group by role""",
         "combine_documents": f"""with {TURNS}, whole as (select string_agg(line, chr(10) || chr(10) order by source, page_no) || chr(10) || chr(10) as t from lines),
             whole_lines as (select unnest(string_split(t, chr(10))) as l from whole)
-            select (select length(t) from whole) as chars, count(*) filter (starts_with(l, '--- Page ')) as markers,
-            count(*) filter (l = '') - 1 as blank_lines from whole_lines""",
+            select l as line, count(*) - cast(l = '' as int) as lines from whole_lines group by l""",
         "html_blocks": f"with {HTML} select page_id, position, tag, text from blocks",
         "html_to_markdown": f"with {HTML} select page_id, markdown from markdown",
         "html_h1": f"with {HTML} select page_id, text from blocks where tag = 'h1'",
@@ -543,6 +541,7 @@ def oracle() -> dict[str, str]:
             ranked as (select *, row_number() over (partition by item_id order by score, doc_id) as rank from scored)
             select item_id as query_id, rank, doc_id as chunk_id, lang, round(score, 6) as score from ranked where rank <= 4""",
     }
+    sql["extraction_sink"] = sql["extract_all"]
     sql["chunk_chars"] = f"with {TEXTS}, {character_chunks('texts', *q.CHUNK_CHARACTERS)} select id, chunk_index, chunk from chunks"
     sql["chunk_documents"] = f"""with files as (select doc_id as id, text from documents), {character_chunks('files', *q.WEB_CHUNK)}
         select 'doc_' || id || '.txt_' || chunk_index as chunk_id, source, chunk_index, chunk as content

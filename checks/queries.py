@@ -371,12 +371,11 @@ def _records(spark, sf):
     return jobs.extract_corpus(text_corpus(spark, sf), keep=("id",))
 
 
-@query
-def extract_all(spark, sf):
+def _record_columns(records: DataFrame) -> DataFrame:
     r = F.col("record")
     pairs = F.transform(F.map_entries(r["key_value_pairs"]), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     money = F.transform(r["monetary"], lambda m: F.concat(m["raw"], F.lit(" "), m["currency"]))
-    return _records(spark, sf).select(
+    return records.select(
         "id",
         F.array_join(r["emails"], "|").alias("emails"),
         F.array_join(r["phones"], "|").alias("phones"),
@@ -387,6 +386,11 @@ def extract_all(spark, sf):
     )
 
 
+@query
+def extract_all(spark, sf):
+    return _record_columns(_records(spark, sf))
+
+
 @query
 def extract_totals(spark, sf):
     return reports.entity_totals(_records(spark, sf))
@@ -407,8 +411,7 @@ def extraction_sink(spark, sf):
     path = scratch_path(spark, "extraction")
     records = _records(spark, sf)
     sinks.save_records(records, path)
-    back = spark.read.schema(records.schema).json(path)
-    return back.select("id", reports.entity_total(F.col("record")).alias("entities"))
+    return _record_columns(spark.read.schema(records.schema).json(path))
 
 
 @query
@@ -613,11 +616,7 @@ def combine_documents(spark, sf):
     parts = documents.assemble_documents(conversation_pages(spark, sf))
     sinks.write_texts(parts, path, order_by=["source", "part"])
     whole = spark.read.option("lineSep", "\n").text(path)
-    return whole.agg(
-        F.sum(F.length("value") + 1).alias("chars"),
-        F.count_if(F.col("value").startswith("--- Page ")).alias("markers"),
-        F.count_if(F.col("value") == "").alias("blank_lines"),
-    )
+    return whole.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("lines"))
 
 
 # Chunks and vectors ---------------------------------------------------------------
