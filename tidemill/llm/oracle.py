@@ -63,3 +63,54 @@ placed AS (
 SELECT doc_id, lang, source, CAST(unnest(range(whole + CASE WHEN rest > 0 AND run <= rest THEN 1 ELSE 0 END)) AS INTEGER) AS epoch
 FROM placed
 """
+
+
+def _reached(nodes: str, key: str) -> str:
+    """The smallest node reachable over ``both(u, v)``."""
+    return f"""reach(node, other) AS (
+  SELECT {key}, {key} FROM {nodes} UNION SELECT node, v FROM reach JOIN both_ways ON other = u
+),
+components AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)"""
+
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE x AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL
+),
+n AS (SELECT *, sqrt(list_sum(list_transform(e, lambda c: c * c))) AS size FROM x),
+both_ways AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) / (a.size * b.size) >= 0.98
+),
+{_reached("embeddings", "vec_id")}
+SELECT vec_id, (SELECT count(*) FROM both_ways WHERE u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components ON node = vec_id
+"""
+
+TOP_K = """
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.e, x.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM x q JOIN x ON q.vec_id <> x.vec_id WHERE q.vec_id % 100 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+NEAR_TEXTS = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS parts FROM w
+),
+e AS (SELECT doc_id, unnest(parts) AS part FROM s),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM e a JOIN e b ON a.part = b.part AND a.doc_id <> b.doc_id GROUP BY ALL),
+both_ways AS (
+  SELECT u, v FROM common JOIN s a ON a.doc_id = u JOIN s b ON b.doc_id = v WHERE 100 * n >= 85 * (len(a.parts) + len(b.parts) - n)
+),
+{_reached("documents", "doc_id")}
+SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN components ON node = doc_id
+"""

@@ -12,7 +12,7 @@ from tidemill.llm.bpe import token_digests
 from tidemill.llm.language_id import fit, held_out, label_languages
 from tidemill.llm.minhash import near_duplicates
 from tidemill.llm.mixing import mix_sources
-from tidemill.llm.oracle import SOURCE_MIX
+from tidemill.llm.oracle import NEAR_TEXTS, NEAR_VECTORS, SOURCE_MIX, TOP_K
 from tidemill.llm.personal_data import personal_data_digests
 from tidemill.llm.projection_dedup import near_duplicate_vectors
 from tidemill.llm.repeated_spans import remove_repeats
@@ -97,4 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_source_mix": SOURCE_MIX}
+ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": NEAR_VECTORS,
+    "op6_source_mix": SOURCE_MIX,
+    "op9_exact_top_k": TOP_K,
+    "op10_minhash_near_dedup": NEAR_TEXTS,
+}
