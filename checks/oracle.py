@@ -461,7 +461,8 @@ def oracle() -> dict[str, str]:
             + ") as value from entities"
             for k, c in KINDS.items()
         ),
-        "text_dir_scan": "select lang, sum(length(text) + 1) as chars from documents group by lang",
+        "text_dir_scan": f"""with files as (select lang, doc_id % {q.FOLDER_PARTS} as part, string_agg(text || chr(10), '' order by doc_id) as content
+              from documents group by all) select lang, part, length(content) as chars, md5(content) as digest from files""",
         "api_pages_unwrap": f"""with {API} select endpoint, page, count(*) as responses,
             cast(coalesce(sum(len(items)), 0) as bigint) as items, count(*) filter (items is null) as without_list,
             count(*) filter (v is null) as errors from unwrapped group by endpoint, page""",
@@ -502,7 +503,8 @@ def oracle() -> dict[str, str]:
         "doc_sizes": f"with {TURNS} select source, pages, chars from sizes",
         "doc_assemble_totals": f"""with {TURNS} select count(*) as documents, sum(pages) as pages,
             sum(chars) + 2 * (count(*) - 1) as chars from sizes""",
-        "doc_dir_summary": """select role, count(*) as pages, sum(length(text)) as chars, 0 as errors from conversations group by role""",
+        "doc_dir_summary": f"""select role, conv_id % {q.FOLDER_PARTS} as part, md5(text) as digest, cast(null as varchar) as error,
+            row_number() over (partition by role, conv_id % {q.FOLDER_PARTS} order by conv_id, turn) as page_no from conversations""",
         "combine_documents": f"""with {TURNS}, whole as (select string_agg(line, chr(10) || chr(10) order by source, page_no) || chr(10) || chr(10) as t from lines),
             whole_lines as (select unnest(string_split(t, chr(10))) as l from whole)
             select l as line, count(*) - cast(l = '' as int) as lines from whole_lines group by l""",

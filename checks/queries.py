@@ -414,13 +414,18 @@ def extraction_sink(spark, sf):
     return _record_columns(spark.read.schema(records.schema).json(path))
 
 
+FOLDER_PARTS = 20
+
+
 @query
 def text_dir_scan(spark, sf):
+    """Documents as files of a folder, some per language, read back file by file."""
     path = scratch_path(spark, "texts")
-    table(spark, sf, "documents").select("lang", "text").write.partitionBy("lang").text(path)
-    lang = F.regexp_extract("source", r"lang=(\w+)", 1)
-    files = texts.read_text_files(spark, path)
-    return files.groupBy(lang.alias("lang")).agg(F.sum(F.length("content")).alias("chars"))
+    rows = table(spark, sf, "documents").select("lang", (F.col("doc_id") % FOLDER_PARTS).alias("part"), "doc_id", "text")
+    in_order = rows.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id")
+    in_order.drop("doc_id").write.partitionBy("lang", "part").text(path)
+    place = [F.regexp_extract("source", r"lang=(\w+)", 1).alias("lang"), F.regexp_extract("source", r"part=(\d+)", 1).cast("bigint").alias("part")]
+    return texts.read_text_files(spark, path).select(*place, F.length("content").alias("chars"), F.md5("content").alias("digest"))
 
 
 # Landed API responses -----------------------------------------------------------
@@ -526,14 +531,14 @@ def doc_sizes(spark, sf):
 
 @query
 def doc_dir_summary(spark, sf):
+    """Turns as pages of documents, some per role, each page compared."""
     path = scratch_path(spark, "documents")
-    turns = table(spark, sf, "conversations").select("role", "text")
-    turns.write.partitionBy("role").option("lineSep", "\f").text(path)
-    decoded = texts.read_document_pages(spark, path, lambda b: b.decode().split("\f")[:-1], "*.txt")
-    role = F.regexp_extract("source", r"role=(\w+)", 1)
-    return decoded.groupBy(role.alias("role")).agg(
-        F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars"), F.count("error").alias("errors")
-    )
+    turns = table(spark, sf, "conversations").select("role", (F.col("conv_id") % FOLDER_PARTS).alias("part"), "conv_id", "turn", "text")
+    in_order = turns.repartition("role", "part").sortWithinPartitions("role", "part", "conv_id", "turn")
+    in_order.select("role", "part", "text").write.partitionBy("role", "part").option("lineSep", "\f").text(path)
+    decoded = texts.read_document_pages(spark, f"{path}/*/*", lambda b: b.decode().split("\f")[:-1], "*.txt")
+    place = [F.regexp_extract("source", r"role=(\w+)", 1).alias("role"), F.regexp_extract("source", r"part=(\d+)", 1).cast("bigint").alias("part")]
+    return decoded.select(*place, "page_no", F.md5("text").alias("digest"), "error")
 
 
 # Web pages ----------------------------------------------------------------------
