@@ -31,6 +31,8 @@ from tidemill.llm.arrow_text import flat_bytes, prefix_hashes, ranges, slices, s
 from tidemill.llm.pretokens import word_spans
 
 REMEMBERED_WORDS = 400_000
+DECODED_IDS = 400_000
+"""Ids decoded at once; a longer list is decoded alone."""
 NO_RANK = np.int64(1 << 40)
 
 
@@ -236,6 +238,17 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, text: str = "text", ids:
     return source.mapInArrow(encode, schema)
 
 
+def _bounded(batch: pa.RecordBatch, ids: str) -> Iterator[pa.RecordBatch]:
+    """The batch cut between rows, at most ``DECODED_IDS`` ids or one row each."""
+    total = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, before + DECODED_IDS, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def decode_ids(encoded: DataFrame, vocabulary_path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of ``ids`` as ``text``; a column of that name is replaced.
 
@@ -246,7 +259,7 @@ def decode_ids(encoded: DataFrame, vocabulary_path: str, ids: str = "token_ids",
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(vocabulary_path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _bounded(whole, ids)):
             lists = pc.fill_null(batch.column(ids), [])
             numbers = np.asarray(lists.flatten()).astype(np.int64)
             offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
