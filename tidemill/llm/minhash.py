@@ -10,8 +10,10 @@
    that agree by chance, by bit counts in SQL.  Pairs that may reach the
    threshold are confirmed on full sets.
 4. Buckets that still hold several components compare the members outside the
-   largest component with all others, except pairs seen before.  So no cap
-   limits partners, and a bucket of many mutual copies costs one pair each.
+   largest component with all others, in cells of bounded size: estimate
+   first, then full sets, and only one link per member and component leaves a
+   cell.  So no cap limits partners, and a bucket of many mutual copies costs
+   one pair each.
 5. Components come from rounds of contraction (``components``).
 
 The estimate only drops pairs ``SLACK`` below the threshold, over five standard
@@ -34,13 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.arrow_text import flat_bytes, mix, prefix_hashes, slices, span_hashes
+from tidemill.llm.arrow_text import flat_bytes, mix, prefix_hashes, ranges, slices, span_hashes
 from tidemill.llm.components import connected_components
 from tidemill.session import cut_lineage
 
 SLOTS, BITS, BANDS, ROWS = 128, 4, 25, 5
 WORDS = SLOTS * BITS // 64
 SLACK = 0.17
+OUTSIDE_BLOCK, MEMBER_BLOCK = 256, 1024
 _SEED = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -169,6 +172,85 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words_each: int, percent: int)
     return pairs.join(u_text, "u").join(v_text, "v").select("u", "v", "u_text", "v_text").mapInArrow(confirm, schema)
 
 
+def shingle_sets(texts: DataFrame, words_each: int) -> DataFrame:
+    """``(key, set)``: the sorted shingle hashes of ``texts(key, text)`` as bytes."""
+    schema = T.StructType([texts.schema["key"], T.StructField("set", T.BinaryType())])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            values, offsets = shingles(batch.column("text"), words_each)
+            data = values.tobytes()
+            sets = [data[8 * a : 8 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=schema.names)
+
+    return texts.select("key", "text").mapInArrow(gather, schema)
+
+
+def cell_links(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Places ``(u, v)`` of linked rows of one cell, one for each row outside and component that it meets."""
+    packs = np.stack([rows.column(f"s{k}").to_numpy() for k in range(WORDS)], axis=1).view(np.uint64)
+    _, labels = np.unique(rows.column("label").to_numpy(), return_inverse=True)
+    outside = rows.column("outside").to_numpy(zero_copy_only=False)
+    flat, bounds = flat_bytes(rows.column("set").combine_chunks())
+    bounds = bounds // 8
+    sizes = np.diff(bounds)
+    words, codes = np.unique(np.frombuffer(flat.tobytes(), np.uint64), return_inverse=True)
+    members = np.flatnonzero(~outside)
+    present = np.zeros(len(words), bool)
+    nibbles = np.uint64(0x1111111111111111)
+    chance = 1.0 / (1 << BITS)
+    found = []
+    for u in np.flatnonzero(outside):
+        others = members[labels[members] != labels[u]]
+        bits = packs[others] ^ packs[u]
+        bits |= bits >> np.uint64(1)
+        bits |= bits >> np.uint64(2)
+        alike = 1 - np.bitwise_count(bits & nibbles).sum(axis=1) / SLOTS
+        others = others[(alike - chance) / (1 - chance) >= percent / 100 - SLACK]
+        if not len(others):
+            continue
+        own = codes[bounds[u] : bounds[u + 1]]
+        present[own] = True
+        counts = sizes[others]
+        hits = present[codes[ranges(bounds[others], counts)]]
+        both = np.add.reduceat(hits.astype(np.int64), np.cumsum(counts) - counts)
+        present[own] = False
+        linked = others[100 * both >= percent * (counts + sizes[u] - both)]
+        _, one = np.unique(labels[linked], return_index=True)
+        found += [(int(u), int(v)) for v in linked[one]]
+    return found
+
+
+def open_links(cells: DataFrame, percent: int) -> DataFrame:
+    """``(u, v)`` of every cell of ``cells(bucket, i, j, outside, key, label, s0.., set)``."""
+    kind = cells.schema["key"].dataType
+    schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            found = np.array(cell_links(rows, percent), np.int64).reshape(-1, 2)
+            keys = rows.column("key").combine_chunks()
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(found[:, 0])), keys.take(pa.array(found[:, 1]))], names=["u", "v"])
+
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            places = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")], axis=1)
+            cuts = np.flatnonzero(np.concatenate([[True], (places[1:] != places[:-1]).any(axis=1), [True]])) if len(places) else []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                here = tuple(places[a])
+                if held and here != last:
+                    yield links(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = here
+        if held:
+            yield links(held)
+
+    return cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(solve, schema)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80) -> DataFrame:
     """One row per text: ``key, n_shingles, component_id, kept, text_hash``.
 
@@ -202,18 +284,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         buckets.join(labels.withColumnRenamed("node", "key"), "key", "left").select("bucket", "center", "key", F.coalesce("component", "key").alias("label")), "labelled"
     )
     per_label = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
-    open_rows = labelled.join(mixed, "bucket")
-    outside = open_rows.where("label <> largest and key <> center").select("bucket", F.col("key").alias("u"), F.col("label").alias("u_label"))
-    others = open_rows.where("key <> center").select("bucket", F.col("key").alias("v"), F.col("label").alias("v_label"), "largest")
-    second = (
-        outside.join(u_signed, "u")
-        .join(others.join(v_signed, "v"), "bucket")
-        .where((F.col("u_label") != F.col("v_label")) & ((F.col("v_label") == F.col("largest")) | (F.col("u") < F.col("v"))) & likely)
-        .select("u", "v")
-        .distinct()
-    )
-    more = cut_lineage(confirmed(second, texts, words_each, percent), "links")
+    mixed = per_label.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("all")).where("labels > 1")
+    open_rows = labelled.drop("center").join(mixed.select("bucket", "top", "all"), "bucket").withColumn("outside", F.col("label") != F.col("top.label"))
+    blocks = {"i": F.ceil((F.col("all") - F.col("top.n")) / OUTSIDE_BLOCK), "j": F.ceil(F.col("all") / MEMBER_BLOCK)}
+    own = {axis: F.pmod(F.xxhash64("key", F.lit(axis)), count).cast("int") for axis, count in blocks.items()}
+    every = {axis: F.explode(F.sequence(F.lit(0), count.cast("int") - 1)).alias(axis) for axis, count in blocks.items()}
+    # A row outside asks in every block of members; every row answers in every block of rows outside.
+    columns = ["bucket", "key", "label"]
+    asking = open_rows.where("outside").select(*columns, F.lit(True).alias("outside"), own["i"].alias("i"), every["j"])
+    answering = open_rows.select(*columns, F.lit(False).alias("outside"), every["i"], own["j"].alias("j"))
+    sets = shingle_sets(texts.join(open_rows.select("key").distinct(), "key", "leftsemi"), words_each)
+    cells = asking.unionByName(answering).join(signed_in.join(sets, "key"), "key")
+    more = cut_lineage(open_links(cells, percent).distinct(), "links")
     if not more.isEmpty():
         labels = connected_components(links.union(more))
     found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
