@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 """Bytes of text handled at once; a longer text is handled alone."""
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -38,7 +38,7 @@ from tidemill.session import cut_lineage
 LENGTH, GRAM, CROWD = 400, 128, 256
 SLICES = (32, 4, 1)
 BATCH_BYTES = 64 << 10
-PIECE = 4 << 20
+PIECE = 1 << 20
 PLACE_BITS = np.uint64(24)  # enough for the places of two pieces
 _TOP = np.uint64(2**64 - 1)
 NAMES = ["key", "text_hash", "at", "starts", "pivot", "file", "content"]
@@ -104,9 +104,7 @@ def sliced(items: DataFrame, width: int, length: int) -> DataFrame:
     schema = items.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, "bytes"):
             flat, bounds = flat_bytes(batch.column("bytes"))
             sums = prefix_hashes(flat)
             counts, pivots = (batch.column(c).to_numpy().astype(np.int64) for c in ("starts", "pivot"))
