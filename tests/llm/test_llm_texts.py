@@ -260,6 +260,20 @@ def test_budgets_move_among_siblings_first(spark):
     assert {r["source"]: r["alloc"] for r in plan.collect()} == {"s1": 100, "s2": 10, "s3": 5, "s4": 485, "s5": 0}
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_budgets_beyond_ten_digits(spark, ansi):
+    leaves = [("d1", "en", "s1", 100), ("d1", "en", "s2", 10), ("d1", "de", "s3", 5), ("d2", "en", "s4", 20), ("d3", "en", "s5", 0)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for size in (10**9, 10**11, 10**16):
+            frame = spark.createDataFrame([(*names, n * size) for *names, n in leaves], "domain string, language string, source string, avail long")
+            plan = mixing.leaf_budgets(frame, F.lit(90 * size), {"domain": {"d1": 200, "d2": 100, "d3": 0}}, 3)
+            assert {r["source"]: r["alloc"] for r in plan.collect()} == {"s1": 45 * size // 2, "s2": 45 * size // 2, "s3": 15 * size, "s4": 30 * size, "s5": 0}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_mixing_takes_whole_epochs_and_a_prefix(docs, empty):
     tokens = {i: len(brute.re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode())) for i, t in rows_of(docs)}
     total = sum(tokens.values())

@@ -30,6 +30,8 @@ from tidemill.operators.lookup import join_per_key
 from tidemill.session import cut_lineage
 
 LEVELS = ("domain", "language", "source")
+#: A bigint of tokens and a sum of weights (below 10^18): their product is exact in the 38 digits of a decimal.
+WIDE, NARROW = "cast({} as decimal(19, 0))", "cast({} as decimal(18, 0))"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -54,7 +56,7 @@ def fill(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
     weighted = F.when(F.col("weight") > 0, F.col("cap")).otherwise(0)
     rest = F.greatest(F.col("budget") - F.coalesce(F.sum(weighted).over(before), F.lit(0)), F.lit(0))
     ranked = nodes.withColumn("_k", F.row_number().over(within.orderBy(*order))).withColumn("_rest", rest).withColumn("_onward", F.sum("weight").over(onward))
-    fits = F.expr("weight > 0 and decimal(_rest) * decimal(weight) <= decimal(cap) * decimal(_onward)")
+    fits = F.expr(f"weight > 0 and {WIDE.format('_rest')} * {NARROW.format('weight')} <= {WIDE.format('cap')} * {NARROW.format('_onward')}")
     first = ranked.withColumn("_first", F.min(F.when(fits, F.col("_k"))).over(within))
     full = F.coalesce(F.col("_k") < F.col("_first"), F.lit(True))
     marked = first.withColumn("_full", full).withColumn("_open", F.when(F.col("_full"), 0).otherwise(F.col("weight")))
@@ -63,7 +65,8 @@ def fill(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
         .withColumn("_total", F.sum("_open").over(within))
         .withColumn("_running", F.sum("_open").over(upto))
     )
-    share = F.expr("(_left * _running) div _total - (_left * (_running - _open)) div _total")
+    part = "({} * {}) div _total"
+    share = F.expr(f"{part.format(WIDE.format('_left'), NARROW.format('_running'))} - {part.format(WIDE.format('_left'), NARROW.format('_running - _open'))}")
     alloc = F.when(F.col("weight") <= 0, 0).when(F.col("_full"), F.col("cap")).otherwise(F.least(F.coalesce(share, F.lit(0)), F.col("cap")))
     return shared.withColumn("alloc", alloc.cast("long")).drop("_k", "_rest", "_onward", "_first", "_full", "_open", "_left", "_total", "_running")
 
