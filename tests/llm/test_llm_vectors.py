@@ -51,6 +51,25 @@ def test_linked_vectors_equal_all_pairs(spark, vectors, monkeypatch):
     assert projection_dedup.near_duplicate_vectors(frame(spark, vectors).limit(0)).count() == 0
 
 
+def test_links_that_no_window_shows(spark, monkeypatch):
+    monkeypatch.setattr(projection_dedup, "PASSES", 2)
+    monkeypatch.setattr(projection_dedup, "WINDOW", 4)
+    monkeypatch.setattr(projection_dedup, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    base = np.ones(24) + 0.5 * rng.standard_normal((900, 24))  # a cone, with isolated pairs in it
+    near = base[:200] + 0.17 * rng.standard_normal((200, 24))
+    whole = np.concatenate([base, near, rng.standard_normal((300, 24))])
+    rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(whole)]
+    unit = np.array([r[1] for r in rows], np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.98
+    np.fill_diagonal(linked, False)
+    assert linked.sum() > 200
+    component = brute.closure(range(len(rows)), list(zip(*(x.tolist() for x in np.nonzero(linked)), strict=True)))
+    got = projection_dedup.near_duplicate_vectors(frame(spark, rows)).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (int(n), component[i]) for i, n in enumerate(linked.sum(axis=1))}
+
+
 def test_top_k_equals_sorting(spark, vectors, monkeypatch):
     monkeypatch.setattr(threshold_topk, "CELL_ROWS", 200)
     monkeypatch.setattr(threshold_topk, "QUERY_BLOCK", 3)
