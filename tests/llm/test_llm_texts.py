@@ -162,6 +162,16 @@ def test_personal_data_base_spans(spark, docs, empty):
     assert personal_data.personal_data_digests(empty).count() == 0
 
 
+def test_fitted_model_adds_whole_loose_addresses(spark):
+    tails = ["example.com", "a.b.c.d.e.example.com", "mail [dot] a [dot] b [dot] c [dot] d [dot] example [dot] org", "x." * 5000 + "net"]
+    planted = [f"bob{k} {sign} {tails[k % 4]}" for k in range(40) for sign in ("[at]", "(at)")]
+    texts = [f"Write an e-mail to {address} , or to ann{k}@example.org today" for k, address in enumerate(planted)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = personal_data.find_personal_data(frame, personal_data.fit(frame))
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["personal_data"] if not s["base"]] for r in found.select("doc_id", "personal_data").collect()}
+    assert got == {k: [(t.index("bob"), t.index("bob") + len(address))] for k, (t, address) in enumerate(zip(texts, planted, strict=True))}
+
+
 def test_personal_data_masks_spans(spark):
     model = personal_data.SpanModel({}, {})
     rows = [(0, "é mail bob@x.org or +1 415 555 0123!"), (1, None), (2, "none")]

@@ -46,7 +46,7 @@ INNER_SEPARATOR = r"(?<=[0-9])[ -](?=[0-9])"
 CARD_HINT = r"[0-9](?:[ -]?[0-9]){12}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-LOOSE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]++){1,4}"
+LOOSE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]++)++"
 LOOSE_PHONE = r"(?<![0-9.+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])"
 
 # Gazetteers and cue words of the labelers.
