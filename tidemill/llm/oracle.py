@@ -114,3 +114,31 @@ both_ways AS (
 {_reached("documents", "doc_id")}
 SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN components ON node = doc_id
 """
+
+HARD_NEGATIVES = """
+WITH x AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN ((label + 1) % 10 + 10) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(c)))
+),
+s AS (
+  SELECT a.id AS anchor_id, a.label AS anchor_label, r.id, r.label,
+    CAST(list_sum(list_transform(list_zip(a.e, r.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM x a JOIN x r ON a.id <> r.id AND len(a.e) = len(r.e)
+  WHERE a.id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k
+  FROM s WHERE label = anchor_label QUALIFY k <= 5
+),
+n AS (
+  SELECT p.anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+  WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""

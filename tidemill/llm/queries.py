@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import token_digests
+from tidemill.llm.hard_negatives import hard_negatives
 from tidemill.llm.language_id import fit, held_out, label_languages
 from tidemill.llm.minhash import near_duplicates
 from tidemill.llm.mixing import mix_sources
-from tidemill.llm.oracle import NEAR_TEXTS, NEAR_VECTORS, SOURCE_MIX, TOP_K
+from tidemill.llm.oracle import HARD_NEGATIVES, NEAR_TEXTS, NEAR_VECTORS, SOURCE_MIX, TOP_K
 from tidemill.llm.personal_data import personal_data_digests
 from tidemill.llm.projection_dedup import near_duplicate_vectors
 from tidemill.llm.repeated_spans import remove_repeats
@@ -84,6 +85,10 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -102,4 +108,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_source_mix": SOURCE_MIX,
     "op9_exact_top_k": TOP_K,
     "op10_minhash_near_dedup": NEAR_TEXTS,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }
