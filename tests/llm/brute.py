@@ -113,3 +113,29 @@ def hard_negatives(rows):
             window = [(i, -s) for s, i, label in scored if label != la and 30 * ps <= -100 * s <= 90 * ps][:10]
             out += [(a, p, r + 1, i, ps, s) for r, (i, s) in enumerate(window)]
     return out
+
+
+def contamination(docs, items):
+    """``doc_id -> (n_words, n_hit, n_items, items_sha256, contaminated)`` by trying every window everywhere."""
+    word = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = lambda t: word.findall((t or "").translate(lower))
+    windows = {}
+    for item, text in items:
+        ws = split(text)
+        if item is None or not ws:
+            continue
+        for i in range(max(1, len(ws) - 9)):
+            windows.setdefault(tuple(ws[i : i + 10]), set()).add(item)
+    out = []
+    for doc_id, text in docs:
+        ws = split(text)
+        hit, named = set(), set()
+        for w, owners in windows.items():
+            for i in range(len(ws) - len(w) + 1):
+                if tuple(ws[i : i + len(w)]) == w:
+                    hit.update(range(i, i + len(w)))
+                    named |= owners
+        joined = ",".join(sorted(str(i) for i in named))
+        out.append((doc_id, len(ws), len(hit), len(named), hashlib.sha256(joined.encode()).hexdigest(), bool(hit)))
+    return out

@@ -30,7 +30,7 @@ def test_every_operator_has_one_query():
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         connection.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     got, want = queries.QUERIES[name](spark, SF_DIR).toPandas(), connection.execute(queries.ORACLE_SQL[name]).df()
     assert len(got) and canonical(got).equals(canonical(want))

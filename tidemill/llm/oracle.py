@@ -142,3 +142,32 @@ n AS (
 )
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = f"""
+WITH dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL
+),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i : i + least(len(ws), 10) - 1], ' ') AS w
+  FROM iw, LATERAL (SELECT unnest(range(1, greatest(len(iw.ws) - 8, 2))) AS i)
+  WHERE len(ws) > 0
+),
+lens AS (SELECT DISTINCT n FROM win),
+dpos AS (
+  SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS w
+  FROM dw CROSS JOIN lens, LATERAL (SELECT unnest(range(1, len(dw.ws) - lens.n + 2)) AS i)
+),
+occ AS (SELECT DISTINCT p.doc_id, p.i, p.n, win.item_id FROM dpos p JOIN win ON p.n = win.n AND p.w = win.w),
+hit AS (SELECT DISTINCT doc_id, i + k AS pos FROM occ, LATERAL (SELECT unnest(range(0, occ.n)) AS k)),
+per AS (SELECT doc_id, count(*) AS n_hit FROM hit GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, sha256(array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',')) AS h
+  FROM occ GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
