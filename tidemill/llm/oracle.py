@@ -171,3 +171,27 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
   coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+st AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS nn, coalesce(sum(len(ts)), 0) AS ll FROM d),
+it AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+dt AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM d)
+  WHERE term IN (SELECT term FROM it) GROUP BY doc_id, term
+),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM dt, st GROUP BY term, nn
+),
+m AS (SELECT doc_id, 50 + (50 * len(ts) * nn) // ll AS m FROM d, st WHERE len(ts) > 0),
+sc AS (
+  SELECT it.item_id, dt.doc_id, sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+  FROM it JOIN dt USING (term) JOIN w USING (term) JOIN m ON m.doc_id = dt.doc_id
+  GROUP BY it.item_id, dt.doc_id
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 50
+"""

@@ -13,11 +13,12 @@ from tidemill.llm.hard_negatives import hard_negatives
 from tidemill.llm.language_id import fit, held_out, label_languages
 from tidemill.llm.minhash import near_duplicates
 from tidemill.llm.mixing import mix_sources
-from tidemill.llm.oracle import DECONTAMINATION, HARD_NEGATIVES, NEAR_TEXTS, NEAR_VECTORS, SOURCE_MIX, TOP_K
+from tidemill.llm.oracle import DECONTAMINATION, HARD_NEGATIVES, LEXICAL_SEARCH, NEAR_TEXTS, NEAR_VECTORS, SOURCE_MIX, TOP_K
 from tidemill.llm.personal_data import personal_data_digests
 from tidemill.llm.projection_dedup import near_duplicate_vectors
 from tidemill.llm.repeated_spans import remove_repeats
 from tidemill.llm.secret_scan import secret_digests
+from tidemill.llm.signature_search import search
 from tidemill.llm.threshold_topk import top_k
 from tidemill.llm.winnowing import decontaminate
 from tidemill.llm.token_counts import count_tokens
@@ -94,6 +95,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_decontamination": op12_decontamination,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -116,4 +122,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_minhash_near_dedup": NEAR_TEXTS,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op12_decontamination": DECONTAMINATION,
+    "op13_lexical_search": LEXICAL_SEARCH,
 }
