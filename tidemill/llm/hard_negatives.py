@@ -50,6 +50,10 @@ ANCHOR_BLOCK = 1_024
 #: Segments per level, coarse first.
 LEVELS = (4, 16)
 POSITIVES, NEGATIVES = 5, 10
+#: Anchors (or anchor and positive pairs) whose bound matrices a task holds at once.
+CHUNK = 128
+#: Above this share of pairs spared by the coarse level, the survivors are scored by one matrix product.
+COARSE_ONLY = 0.5
 LOW, HIGH = 30, 90
 
 
@@ -85,8 +89,8 @@ class Summaries:
             self.levels.append((sizes, mean, dev))
 
 
-def _bounds(a: Summaries, rows: Summaries, level: int, which: np.ndarray | slice, places) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the scores of anchors ``which`` against rows ``places``."""
+def _bounds(a: Summaries, rows: Summaries, level: int, which, places) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the scores of anchors ``which`` against rows ``places``, as a matrix."""
     sizes, mean_a, dev_a = a.levels[level]
     _, mean_r, dev_r = rows.levels[level]
     ma, da = mean_a[which] * sizes, dev_a[which] * sizes
@@ -96,36 +100,77 @@ def _bounds(a: Summaries, rows: Summaries, level: int, which: np.ndarray | slice
     return centre - spread - slack, centre + spread + slack
 
 
-def _exact(a: np.ndarray, rows: np.ndarray, peak: float) -> np.ndarray:
-    """Exact integer inner products of one anchor with some rows."""
-    if peak * peak * max(1, a.shape[0]) < 2**52:
-        return np.rint(rows @ a).astype(np.int64)
-    scores = [sum(int(p) * int(q) for p, q in zip(a, row, strict=True)) for row in rows]
-    return np.array(scores, dtype=np.int64)  # beyond 64 bits this raises
-
-
-def _kth(values: np.ndarray, k: int) -> float:
-    """The ``k``-th largest value, or minus infinity when there are fewer."""
-    return float(np.partition(values, len(values) - k)[len(values) - k]) if len(values) >= k else -np.inf
+def _pair_bounds(a: Summaries, rows: Summaries, level: int, ai: np.ndarray, rj: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same bounds for the pairs ``(ai[p], rj[p])`` alone."""
+    sizes, mean_a, dev_a = a.levels[level]
+    _, mean_r, dev_r = rows.levels[level]
+    ma, mr = mean_a[ai] * sizes, mean_r[rj]
+    centre = np.einsum("ps,ps->p", ma, mr)
+    spread = np.einsum("ps,ps->p", dev_a[ai] * sizes, dev_r[rj])
+    slack = 1e-9 * (np.einsum("ps,ps->p", np.abs(ma), np.abs(mr)) + spread) + 1e-6
+    return centre - spread - slack, centre + spread + slack
 
 
-def _refine(a: Summaries, i: int, rows: Summaries, places: np.ndarray, lo: np.ndarray, hi: np.ndarray, keep) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places kept by ``keep(lo, hi)`` at every finer level, with their tightest bounds."""
-    chosen = keep(lo, hi)
-    places, lo, hi = places[chosen], lo[chosen], hi[chosen]
-    for level in range(1, len(LEVELS)):
-        if not len(places):
-            break
-        flo, fhi = _bounds(a, rows, level, [i], places)
-        lo, hi = np.maximum(lo, flo[0]), np.minimum(hi, fhi[0])
-        chosen = keep(lo, hi)
-        places, lo, hi = places[chosen], lo[chosen], hi[chosen]
-    return places, lo, hi
+def _exact(a: Summaries, rows: Summaries, ai: np.ndarray, rj: np.ndarray) -> np.ndarray:
+    """Exact integer inner products of the pairs ``(ai[p], rj[p])``."""
+    peak = max(a.peak, rows.peak)
+    if peak * peak * max(1, a.v.shape[1]) < 2**52:
+        return np.rint(np.einsum("pd,pd->p", a.v[ai], rows.v[rj])).astype(np.int64)
+    scores = [sum(int(p) * int(q) for p, q in zip(a.v[i], rows.v[j], strict=True)) for i, j in zip(ai, rj, strict=True)]
+    return np.array(scores, dtype=np.int64)  # beyond 64 bits this raises
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` best scores, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+def _kth(values: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th largest value of every row (minus infinity where fewer are finite)."""
+    if values.shape[1] < k:
+        return np.full(values.shape[0], -np.inf)
+    return np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k]
+
+
+def _first(group: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the best ``k`` scores of every group, ties to the smaller id."""
+    order = np.lexsort((ids, -scores, group))
+    group = group[order]
+    starts = np.searchsorted(group, group, "left")
+    return order[np.arange(len(order)) - starts < k]
+
+
+def _choose(a: Summaries, rows: Summaries, owner: np.ndarray, anchors_lo: np.ndarray, anchors_hi: np.ndarray, keep, within, k: int):
+    """Pairs ``(p, j)`` and exact scores of the best ``k`` rows ``j`` of every query row ``p``.
+
+    ``owner[p]`` is the anchor of query row ``p`` (an index into the first
+    axis of the anchor bound matrices).  ``keep(lo, hi, p)`` rules pairs out by
+    their bounds, and ``within(scores, p)`` by their exact scores.  When the
+    coarse level spares more than ``COARSE_ONLY`` of the pairs, the finer
+    levels would spare as many: the survivors are then scored by one product of
+    the chunk with the cell and chosen by partition.
+    """
+    local = np.unique(owner, return_inverse=True)
+    lo, hi = anchors_lo[local[1]], anchors_hi[local[1]]
+    chosen = keep(lo, hi, np.arange(len(owner)))
+    if chosen.sum() > COARSE_ONLY * chosen.size and max(a.peak, rows.peak) ** 2 * max(1, a.v.shape[1]) < 2**52:
+        exact = np.rint(a.v[local[0]] @ rows.v.T)[local[1]]
+        allowed = chosen & within(exact, np.arange(len(owner))[:, None])
+        values = np.where(allowed, exact, -np.inf)
+        p, j = np.nonzero(allowed & (values >= _kth(values, k)[:, None]))
+        scores = exact[p, j].astype(np.int64)
+    else:
+        p, j = np.nonzero(chosen)
+        lo, hi = lo[p, j], hi[p, j]
+        for level in range(1, len(LEVELS)):
+            if not len(p):
+                break
+            flo, fhi = _pair_bounds(a, rows, level, owner[p], j)
+            lo, hi = np.maximum(lo, flo), np.minimum(hi, fhi)
+            dense_lo, dense_hi = np.full(chosen.shape, -np.inf), np.full(chosen.shape, -np.inf)
+            dense_lo[p, j], dense_hi[p, j] = lo, hi
+            spared = keep(dense_lo, dense_hi, np.arange(len(owner)))[p, j]
+            p, j, lo, hi = p[spared], j[spared], lo[spared], hi[spared]
+        scores = _exact(a, rows, owner[p], j)
+        inside = within(scores, p)
+        p, j, scores = p[inside], j[inside], scores[inside]
+    best = _first(p, rows.ids[j], scores, k)
+    return p[best], j[best], scores[best]
 
 
 def positives_of_cell(anchors: pd.DataFrame, cell: pd.DataFrame, k: int = POSITIVES) -> pd.DataFrame:
@@ -133,19 +178,14 @@ def positives_of_cell(anchors: pd.DataFrame, cell: pd.DataFrame, k: int = POSITI
     out = {"anchor": [], "positive_id": [], "positive_score": []}
     if len(anchors) and len(cell):
         a, rows = Summaries(anchors), Summaries(cell)
-        lo0, hi0 = _bounds(a, rows, 0, slice(None), slice(None))
-        everyone = np.arange(len(rows.ids))
-        for i in range(len(a.ids)):
-            places = everyone[(rows.labels == a.labels[i]) & (rows.ids != a.ids[i])]
-            places, _, _ = _refine(a, i, rows, places, lo0[i, places], hi0[i, places], lambda lo, hi: hi >= _kth(lo, k))
-            if not len(places):
-                continue
-            scores = _exact(a.v[i], rows.v[places], max(a.peak, rows.peak))
-            order = _best(rows.ids[places], scores, k)
-            best, top = places[order], scores[order]
-            out["anchor"] += [int(anchors["anchor"].iloc[i])] * len(best)
-            out["positive_id"] += rows.ids[best].tolist()
-            out["positive_score"] += top.tolist()
+        for chunk in np.array_split(np.arange(len(a.ids)), -(-len(a.ids) // CHUNK)):
+            lo, hi = _bounds(a, rows, 0, chunk, slice(None))
+            mine = (rows.labels[None, :] == a.labels[chunk, None]) & (rows.ids[None, :] != a.ids[chunk, None])
+            lo, hi = np.where(mine, lo, -np.inf), np.where(mine, hi, -np.inf)
+            p, j, scores = _choose(a, rows, chunk, lo, hi, lambda lo, hi, _: np.isfinite(lo) & (hi >= _kth(lo, k)[:, None]), lambda s, _: np.ones(np.shape(s), bool), k)
+            out["anchor"] += anchors["anchor"].to_numpy()[chunk[p]].tolist()
+            out["positive_id"] += rows.ids[j].tolist()
+            out["positive_score"] += scores.tolist()
     return pd.DataFrame(out).astype("int64")
 
 
@@ -154,34 +194,35 @@ def negatives_of_cell(anchors: pd.DataFrame, cell: pd.DataFrame, k: int = NEGATI
     out = {"anchor": [], "positive_id": [], "negative_id": [], "negative_score": []}
     if len(anchors) and len(cell):
         a, rows = Summaries(anchors), Summaries(cell)
-        lo0, hi0 = _bounds(a, rows, 0, slice(None), slice(None))
-        everyone = np.arange(len(rows.ids))
-        for i in range(len(a.ids)):
-            other = everyone[rows.labels != a.labels[i]]
-            known: dict[int, int] = {}
-            for positive, p in zip(anchors["positive_ids"].iloc[i], anchors["positive_scores"].iloc[i], strict=True):
-                if p < 0 or not len(other):
-                    continue
-                floor_, ceiling = LOW * p, HIGH * p
-
-                def keep(lo, hi, floor_=floor_, ceiling=ceiling):
-                    maybe = (100 * hi >= floor_) & (100 * lo <= ceiling)
-                    sure = maybe & (100 * lo >= floor_) & (100 * hi <= ceiling)
-                    return maybe & (hi >= _kth(lo[sure], k))
-
-                places, _, _ = _refine(a, i, rows, other, lo0[i, other], hi0[i, other], keep)
-                fresh = [q for q in places.tolist() if q not in known]
-                if fresh:
-                    exact = _exact(a.v[i], rows.v[fresh], max(a.peak, rows.peak))
-                    known.update(zip(fresh, exact.tolist(), strict=True))
-                scores = np.array([known[q] for q in places.tolist()], dtype=np.int64)
-                inside = (100 * scores >= floor_) & (100 * scores <= ceiling)
-                places, scores = places[inside], scores[inside]
-                best = _best(rows.ids[places], scores, k)
-                out["anchor"] += [int(anchors["anchor"].iloc[i])] * len(best)
-                out["positive_id"] += [int(positive)] * len(best)
-                out["negative_id"] += rows.ids[places[best]].tolist()
-                out["negative_score"] += scores[best].tolist()
+        counts = anchors["positive_ids"].map(len).to_numpy()
+        owner_all = np.repeat(np.arange(len(anchors)), counts)
+        positive_all = np.concatenate([np.asarray(x, np.int64) for x in anchors["positive_ids"]]) if counts.sum() else np.empty(0, np.int64)
+        score_all = np.concatenate([np.asarray(x, np.int64) for x in anchors["positive_scores"]]) if counts.sum() else np.empty(0, np.int64)
+        ok = score_all >= 0
+        owner_all, positive_all, score_all = owner_all[ok], positive_all[ok], score_all[ok]
+        for chunk in np.array_split(np.arange(len(a.ids)), -(-len(a.ids) // CHUNK)):
+            mine = np.isin(owner_all, chunk)
+            if not mine.any():
+                continue
+            owner, positive, ps = owner_all[mine], positive_all[mine], score_all[mine]
+            lo, hi = _bounds(a, rows, 0, np.unique(owner), slice(None))
+            other = rows.labels[None, :] != a.labels[np.unique(owner), None]
+            lo, hi = np.where(other, lo, -np.inf), np.where(other, hi, -np.inf)
+            floor_, ceiling = LOW * ps.astype(np.float64), HIGH * ps.astype(np.float64)
+
+            def keep(lo, hi, p, floor_=floor_, ceiling=ceiling):
+                maybe = np.isfinite(lo) & (100 * hi >= floor_[p, None]) & (100 * lo <= ceiling[p, None])
+                sure = maybe & (100 * lo >= floor_[p, None]) & (100 * hi <= ceiling[p, None])
+                return maybe & (hi >= _kth(np.where(sure, lo, -np.inf), k)[:, None])
+
+            def within(scores, p, ps=ps):
+                return (100 * scores >= LOW * ps[p]) & (100 * scores <= HIGH * ps[p])
+
+            p, j, scores = _choose(a, rows, owner, lo, hi, keep, within, k)
+            out["anchor"] += anchors["anchor"].to_numpy()[owner[p]].tolist()
+            out["positive_id"] += positive[p].tolist()
+            out["negative_id"] += rows.ids[j].tolist()
+            out["negative_score"] += scores.tolist()
     return pd.DataFrame(out).astype("int64")
 
 
