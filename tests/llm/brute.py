@@ -139,3 +139,32 @@ def contamination(docs, items):
         joined = ",".join(sorted(str(i) for i in named))
         out.append((doc_id, len(ws), len(hit), len(named), hashlib.sha256(joined.encode()).hexdigest(), bool(hit)))
     return out
+
+
+def lexical_search(docs, items, top=50):
+    """``(item_id, rank, doc_id, score)`` by scoring every document for every item."""
+    import math
+
+    term = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = lambda t: term.findall((t or "").translate(lower))
+    counted = [(d, Counter(split(t)), len(split(t))) for d, t in docs]
+    big_n = sum(1 for _, _, n in counted if n)
+    big_l = sum(n for _, _, n in counted)
+    out = []
+    for item, text in items:
+        if item is None:
+            continue
+        terms = set(split(text))
+        df = {t: sum(1 for _, c, _ in counted if c[t]) for t in terms}
+        scored = []
+        for d, c, n in counted:
+            if not n or d is None:
+                continue
+            m = 100 - 50 + (50 * n * big_n) // big_l
+            s = sum(math.floor(1000 * math.log((2 * big_n + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 20 * m)) for t in terms if c[t])
+            if s > 0:
+                scored.append((-s, d))
+        scored.sort()
+        out += [(item, r + 1, d, -s) for r, (s, d) in enumerate(scored[:top])]
+    return out
