@@ -4,7 +4,8 @@ Each task scores its Arrow batches against the query vectors with a matrix
 product and keeps ``k`` rows per query, so what is shuffled is ``k`` rows per
 query and task, whatever the size of the store.  No pair of store row and query
 ever becomes a row.  The search reads ids and vectors only; the other columns
-of the hits are fetched at the end.
+of the hits are fetched at the end.  Rows whose vector is null or holds a
+non-finite component have no distance: they are never found.
 """
 
 from __future__ import annotations
@@ -101,10 +102,16 @@ def _scored(
         batch = batch.filter(batch[vector].is_valid())
         if not batch.num_rows:
             continue
+        matrix = _matrix(batch[vector])
+        finite = np.isfinite(matrix).all(axis=1)
+        if not finite.all():  # no distance is defined for these rows
+            batch, matrix = batch.filter(pa.array(finite)), matrix[finite]
+            if not batch.num_rows:
+                continue
         ids = batch[id_column]
         place = np.empty(len(ids), np.int64)
         place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-        matrix, tiles = _matrix(batch[vector]), []
+        tiles = []
         step = max(1, TILE // len(matrix))
         for at in range(0, len(queries), step):  # ties are cut to k before anything is taken
             query, row, score = _closest(matrix, queries[at : at + step], k, beyond[at : at + step])
