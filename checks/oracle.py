@@ -527,6 +527,8 @@ def oracle() -> dict[str, str]:
             named as (select doc_id || '_' || chunk_index as chunk_id, source, chunk from chunks),
             {hashed('named', 'chunk_id, source', 'chunk')}
             select chunk_id, source, bucket, round(cast(weight as double), 5) as weight from vectors""",
+        "vector_store_cells": "select vec_id, label, len(embedding) as dims, true as nearest_cell from embeddings",
+        "vector_ann_recall": "select count(*) as queries, true as recall_ok from embeddings where embedding is not null",
         "vector_topk": """with pairs as (
               select a.vec_id as query_id, b.vec_id, b.label,
                 list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (cast(z[1] as double) - z[2]) * (cast(z[1] as double) - z[2]))) as score

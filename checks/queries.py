@@ -11,6 +11,7 @@ from tidemill.functions.html import html_blocks, html_to_markdown
 from tidemill.operators import api_records, crawl, documents, profile, reports, table_cleaning
 from tidemill.operators.corpus_dedup import dedup_corpus as dedup_corpus_
 from tidemill.operators.aggregate import AGGREGATES, group_aggregate
+from tidemill.operators import cell_index
 from tidemill.operators.vector_search import nearest
 from tidemill.plans import jobs
 from tidemill.session import cut_lineage, scratch_path
@@ -683,6 +684,41 @@ def vector_topk(spark, sf):
     return found.withColumn("score", F.round("score", 6))
 
 
+ANN_K = 4
+
+
+def _cell_store(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return vectors, cell_index.build(vectors, scratch_path(spark, "cells"), "vec_id")
+
+
+@query
+def vector_store_cells(spark, sf):
+    """Every row of the store, read back from the folders of its cell, and whether that is its nearest centroid."""
+    _, index = _cell_store(spark, sf)
+    rows = cell_index.checked(index, spark)
+    return rows.select("vec_id", "label", F.size("embedding").alias("dims"), "nearest_cell")
+
+
+@query
+def vector_topk_ann(spark, sf):
+    """Approximate 4 nearest rows of every row, probes set by measured recall, with each query's recall against the exact search."""
+    vectors, index = _cell_store(spark, sf)
+    probes, _ = cell_index.calibrate(index, vectors, ANN_K)
+    queries = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    found = cell_index.search(index, queries, ANN_K, probes)
+    exact = nearest(vectors.select("vec_id", "embedding"), queries, ANN_K, id_column="vec_id")
+    scored = found.join(cell_index.recall(found, exact, "vec_id"), "query_id", "left")
+    return scored.select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"), F.col("recall"), F.lit(probes).alias("probes"))
+
+
+@query
+def vector_ann_recall(spark, sf):
+    """One row: the number of queries and whether their mean recall reaches 0.9."""
+    rows = vector_topk_ann(spark, sf).select("query_id", "recall").distinct()
+    return rows.agg(F.count("*").alias("queries"), (F.avg("recall") >= 0.9).alias("recall_ok"))
+
+
 @query
 def semantic_query(spark, sf):
     store = spread(table(spark, sf, "documents")).select(
