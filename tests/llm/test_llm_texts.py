@@ -295,3 +295,13 @@ def test_mixing_takes_whole_epochs_and_a_prefix(docs, empty):
     assert mixing.mix_sources(empty.withColumn("source", F.lit("s")), F.lit("d"), F.expr("total div 2")).count() == 0
     none = mixing.mix_sources(docs.withColumn("source", F.lit(None).cast("string")), F.lit(None), F.lit(0))
     assert none.count() == 0
+
+
+def test_texts_under_one_key_stay_apart(spark):
+    a = " ".join(f"w{i}" for i in range(40))
+    b = " ".join(f"z{i}" for i in range(40))
+    rows = [(1, a), (2, a + " more"), (2, b), (3, b), (None, a), (4, None)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words_each=3, percent=85).drop("text_hash").collect()
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["component_id"] if r["component_id"] is not None else -1, r["kept"]) for r in got) == sorted(
+        [(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (-1, -1, True), (4, 4, True)]
+    )

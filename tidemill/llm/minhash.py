@@ -23,7 +23,9 @@ below 1e-6 (at 0.8: 6e-5).
 Texts without words, empty or null, have an empty set and link with nothing.
 Fewer words than a shingle count as one shingle.  Repeated rows are exact
 copies.  A row with a null key links with nothing: its component is null and
-it is kept.  Rows that repeat a key are judged each by its text.
+it is kept.  Rows that repeat a key are judged each by its text: graph nodes are
+classes of equal sets, not keys, and a component is named by the smallest key of
+its classes at the end.
 """
 
 from __future__ import annotations
@@ -260,18 +262,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     """
     signed = cut_lineage(signatures(docs, key, text, words_each), "signatures")
     able = signed.where("key is not null and n_shingles > 0")
-    classes = able.groupBy("set_a", "set_b").agg(F.min("key").alias("rep"))
+    # Graph nodes are classes of equal sets, numbered on a written table; each is
+    # represented by one of its rows, so rows that share a key stay apart.
+    classes = cut_lineage(able.groupBy("set_a", "set_b").agg(F.min("key").alias("rep"), F.min(F.struct("key", "text_hash")).alias("pick")), "classes")
+    classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    usable = F.expr("key is not null and n_shingles > 0")
     members = cut_lineage(
-        signed.select("key", "text_hash", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left").select("key", "text_hash", "n_shingles", F.when(F.expr("key is not null and n_shingles > 0"), F.col("rep")).alias("rep")),
+        signed.select("key", "text_hash", "n_shingles", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep", "node"), ["set_a", "set_b"], "left").select(
+            "key", "text_hash", "n_shingles", F.when(usable, F.col("rep")).alias("rep"), F.when(usable, F.col("node")).alias("node")
+        ),
         "members",
     )
-    reps = able.join(classes.select(F.col("rep").alias("key")).distinct(), "key", "leftsemi")
+    picks = classes.select("set_a", "set_b", "node", F.col("pick.key").alias("pk"), F.col("pick.text_hash").alias("ph"))
+    reps = cut_lineage(
+        able.join(picks, ["set_a", "set_b"]).where("key = pk and text_hash = ph").dropDuplicates(["node"]).drop("key", "pk", "ph").withColumnRenamed("node", "key"), "reps"
+    )
     rows = reps.select("key", F.explode("bands").alias("bucket")).distinct()
     shared = rows.groupBy("bucket").agg(F.min("key").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
     buckets = cut_lineage(rows.join(shared, "bucket"), "buckets")
     involved = buckets.select("key").distinct()
-    signed_in = cut_lineage(able.drop("bands", "text_hash", "n_shingles", "set_a", "set_b").join(involved, "key", "leftsemi").distinct(), "candidates")
-    texts = cut_lineage(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "leftsemi"), "texts")
+    signed_in = cut_lineage(reps.drop("bands", "text_hash", "n_shingles", "set_a", "set_b").join(involved, "key", "leftsemi"), "candidates")
+    wanted = picks.select(F.col("node").alias("key"), "pk", "ph").join(involved, "key", "leftsemi")
+    picked = docs.select(F.col(key).alias("pk"), F.xxhash64(text).alias("ph"), F.col(text).alias("text")).join(wanted, ["pk", "ph"])
+    texts = cut_lineage(picked.dropDuplicates(["key"]).select("key", "text"), "texts")
     u_signed, v_signed = (signed_in.select([F.col(c).alias(f"{side}_{c}" if c != "key" else side) for c in signed_in.columns]) for side in "uv")
     likely = estimated_similarity("u_", "v_") >= percent / 100 - SLACK
 
@@ -298,6 +311,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     more = cut_lineage(open_links(cells, percent).distinct(), "links")
     if not more.isEmpty():
         labels = connected_components(links.union(more))
-    found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "key")
+    named = labels.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("smallest"))
+    smallest = labels.join(named, "component").select("node", "smallest")
+    found = members.join(smallest, "node", "left")
+    component = F.coalesce("smallest", "rep", "key")
     return found.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"), "text_hash")
