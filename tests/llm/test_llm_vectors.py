@@ -101,3 +101,10 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     sound = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
     assert got == brute.closure({n for e in sound for n in e}, sound)
+
+
+def test_top_k_with_repeated_queries_and_huge_components(spark):
+    rows = [(100, [0.5, 0.25], 1), (100, [0.5, 0.25], 1), (1, [0.4, 0.1], 1), (2, [0.1, 0.9], 1), (3, [1e30, 1.0], 1), (4, [0.4, 0.1], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = [tuple(r) for r in threshold_topk.top_k(frame, F.col("vec_id") % 100 == 0, k=10).orderBy("rank").collect()]
+    assert got == [(100, 1, 2, 288000), (100, 2, 1, 235520), (100, 3, 4, 235520)]  # the query asks once; 1e30 takes no part

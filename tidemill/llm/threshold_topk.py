@@ -9,9 +9,11 @@ over dimensions of its component times the value at the current depth.
 Reports of cells merge by rank, cut to k per query before they are shuffled.
 
 Vectors that are null, empty or hold null or non-finite components take no
-part, nor do rows without an id; vectors of another length than the query meet
-it nowhere.  A query never meets rows with its own id.  Ties go to the smaller
-id; repeated rows are reported as often as they occur.
+part, nor do rows without an id, nor rows with a component whose integer
+reaches ``sqrt(2^63 / dims)`` (their scores could leave 64 bits); vectors of
+another length than the query meet it nowhere.  A query never meets rows with
+its own id.  Ties go to the smaller id; repeated candidate rows are reported
+as often as they occur, while a repeated query row asks once.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ FIRST_DEPTH = 64
 def integer_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """``(id, dims, ints)`` of the rows that take part."""
     number = F.col(vector).cast("array<double>")
-    sound = F.forall(number, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # A score must fit in 64 bits: |floor(1024 x)| below sqrt(2^63 / dims) for every component.
+    reach = F.sqrt(F.lit(float(2**63)) / F.size(vector)) / SCALE
+    sound = F.forall(number, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < reach))
     return (
         rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & sound)
         .select(F.col(key).cast("long").alias("id"), F.size(vector).alias("dims"), F.transform(number, lambda x: F.floor(x * SCALE).cast("long")).alias("ints"))
@@ -82,7 +86,7 @@ def top_of_cell(query: np.ndarray, own: int, data: np.ndarray, ids: np.ndarray,
 def top_k(rows: DataFrame, query_filter: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best rows of every row that passes ``query_filter``."""
     data = integer_vectors(rows, key, vector)
-    queries = integer_vectors(rows.where(query_filter), key, vector)
+    queries = integer_vectors(rows.where(query_filter), key, vector).dropDuplicates(["id", "ints"])
     cells = max(1, -(-data.count() // CELL_ROWS))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     spark = rows.sparkSession
