@@ -41,7 +41,7 @@ def test_bounds_never_exclude_a_better_document():
     n = np.array([len(t.split()) for t in texts])
     block = lexical.Block([(1, "w3", sum(1 for c in counted if c["w3"]), [5, 9]), (1, "w7", sum(1 for c in counted if c["w7"]), [11, 2])], 400, int(n.sum()))
     bits = pa.array([sorted({b for w, bs in (("w3", [5, 9]), ("w7", [11, 2])) if c[w] for b in bs} | {100}) for c in counted], pa.list_(pa.int32()))
-    found, rescored = lexical.rank_batch(block, np.arange(400), texts, n, lexical._slices(bits, 400), k=10)
+    found, rescored = lexical.rank_batch(block, np.arange(400), pa.array(texts), n, lexical._slices(bits, 400), k=10)
     assert rescored < 400
     exact = sorted((-sum(w * lexical.part_of(c[t], 50 + (50 * int(k) * 400) // int(n.sum())) for t, w, _ in block.items[1] if c[t]), d) for d, (c, k) in enumerate(zip(counted, n)))
     assert found[1] == [(-s, d) for s, d in exact if s < 0][:10]

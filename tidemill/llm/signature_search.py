@@ -44,6 +44,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import cut_lineage
+
 # Fixed values of the contract: the term pattern, the number of hits and the constants of the score.
 TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 TOP = 50
@@ -51,6 +53,8 @@ TOP = 50
 BITS = 8_192
 HASHES = 2
 BLOCK_TERMS = 200_000
+#: Rows laid out bit-sliced at once.
+SLICE_ROWS = 4_096
 _TERM = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -94,21 +98,19 @@ class Block:
 
 def _slices(bits: pa.ListArray, count: int) -> np.ndarray:
     """Bit slices: one packed bitmap over the batch per signature bit."""
-    slices = np.zeros((BITS, (count + 7) // 8), np.uint8)
     offsets, flat = bits.offsets.to_numpy(), bits.values.to_numpy(zero_copy_only=False)
-    lengths = np.diff(offsets)
-    rows = np.repeat(np.arange(count), lengths)
-    np.bitwise_or.at(slices, (flat[offsets[0] : offsets[-1]], rows // 8), (0x80 >> (rows % 8)).astype(np.uint8))
-    return slices
+    rows = np.repeat(np.arange(count), np.diff(offsets))
+    plain = np.zeros(BITS * count, bool)
+    plain[flat[offsets[0] : offsets[-1]].astype(np.int64) * count + rows] = True
+    return np.packbits(plain.reshape(BITS, count), axis=1)
 
 
-def rank_batch(block: Block, doc_ids: np.ndarray, texts: list, n: np.ndarray, slices: np.ndarray, k: int = TOP) -> tuple[dict, int]:
+def rank_batch(block: Block, doc_ids: np.ndarray, texts: pa.Array, n: np.ndarray, slices: np.ndarray, k: int = TOP) -> tuple[dict, int]:
     """Each item's best ``k`` documents of the batch, and how many were rescored."""
     count = len(doc_ids)
     n = n.astype(np.int64)
     m = 50 + (50 * n * block.documents) // max(block.total, 1)
-    cap = np.array([part_of(int(a), int(b)) for a, b in zip(n, m, strict=True)], dtype=np.float64)
-    cap[n == 0] = 0
+    cap = ((1_000_000_000 * n) // (1000 * n + 20 * m)).astype(np.float64)
     counted: dict[int, Counter] = {}
     found, rescored = {}, 0
     for item, terms in block.items.items():
@@ -125,7 +127,7 @@ def rank_batch(block: Block, doc_ids: np.ndarray, texts: list, n: np.ndarray, sl
             if bound[i] <= 0 or (len(best) == k and bound[i] < best[-1][0]):
                 break
             if i not in counted:
-                counted[i] = Counter(_TERM.findall((texts[i] or "").translate(_LOWER)))
+                counted[i] = Counter(_TERM.findall((texts[i].as_py() or "").translate(_LOWER)))
                 rescored += 1
             tf = counted[i]
             score = sum(w * part_of(tf[t], int(m[i])) for t, w, _ in terms if tf[t])
@@ -138,19 +140,23 @@ def rank_batch(block: Block, doc_ids: np.ndarray, texts: list, n: np.ndarray, sl
 
 
 def _scan(block: Block):
+    schema = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
+
+    def ranked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = {"item_id": [], "doc_id": [], "score": []}
+        ids = batch.column("doc_id")
+        n = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, batch.column("n").to_numpy(zero_copy_only=False))
+        found, _ = rank_batch(block, ids.fill_null(0).to_numpy(), batch.column("text"), n, _slices(batch.column("bits"), batch.num_rows))
+        for item, best in found.items():
+            out["item_id"] += [item] * len(best)
+            out["doc_id"] += [d for _, d in best]
+            out["score"] += [s for s, _ in best]
+        return pa.RecordBatch.from_pydict(out, schema=schema)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = {"item_id": [], "doc_id": [], "score": []}
-            if batch.num_rows:
-                slices = _slices(batch.column("bits"), batch.num_rows)
-                ids = batch.column("doc_id")
-                n = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, batch.column("n").to_numpy(zero_copy_only=False))
-                found, _ = rank_batch(block, ids.fill_null(0).to_numpy(), batch.column("text").to_pylist(), n, slices)
-                for item, best in found.items():
-                    out["item_id"] += [item] * len(best)
-                    out["doc_id"] += [d for _, d in best]
-                    out["score"] += [s for s, _ in best]
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())]))
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                yield ranked(whole.slice(at, SLICE_ROWS))
 
     return scan
 
@@ -171,12 +177,19 @@ def search(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     Rows with a null doc_id count as documents but are never returned.
     """
     index = signatures(documents, key, text)
-    stats = index.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     item_terms = benchmark.where(F.col(item_key).isNotNull()).select(
         F.col(item_key).cast("long").alias("item_id"), F.explode(F.array_distinct(terms_of(F.col(item_text)))).alias("term")
     )
-    held = documents.select(F.explode(F.array_distinct(terms_of(F.col(text)))).alias("term"))
-    df = held.join(F.broadcast(item_terms.select("term").distinct()), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # One scan: every document gives an empty term (never a real one) that carries its n, and its distinct terms.
+    terms = terms_of(F.col(text))
+    held = documents.select(F.size(terms).alias("n"), F.explode(F.concat(F.array(F.lit("")), F.array_distinct(terms))).alias("term"))
+    wanted = item_terms.select("term").distinct().union(documents.sparkSession.range(1).select(F.lit("").alias("term")))
+    counted = held.join(F.broadcast(wanted), "term").groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")
+    )
+    counted = cut_lineage(counted, "term-counts")
+    stats = counted.where("term = ''").select("N", "L").first() or {"N": 0, "L": 0}
+    df = counted.where("term <> ''").select("term", "df")
     rows = item_terms.join(df, "term", "left").select("item_id", "term", F.coalesce("df", F.lit(0)).alias("df"), bits_of(F.col("term")).alias("bits"))
     parts = []
     for chosen in _item_blocks(rows):
