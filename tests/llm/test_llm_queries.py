@@ -5,6 +5,7 @@ import os
 import brute
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -89,3 +90,22 @@ def test_pipeline_stage_by_stage(spark, documents, tmp_path):
     assert len(kept["mix"]) == len(ids["mix"])
     for r in kept["encode"]:
         assert r["token_ids"] == library.encode(r["text"], add_special_tokens=False).ids and r["decodes"]
+
+
+CLASHING = ["lang_pred", "lang_score", "decoded", "_id", "_kept", "_nth", "_hash", "_n", "_leaf", "_epoch", "_epochs", "rest", "whole", "cut", "_plain", "personal_data", "_carried"]
+
+
+def test_stages_carry_clashing_columns(spark, documents):
+    """Every stage leaves the caller's other columns as they were, whatever their names."""
+    docs = documents.where("doc_id < 300")
+    extras = docs.select("*", *[(F.col("doc_id") * (k + 1)).cast("string").alias(name) for k, name in enumerate(CLASHING)])
+    for name, stage in corpus_pipeline.STAGES:
+        plain = sorted(map(tuple, stage(spark, docs, SF_DIR).collect()), key=repr)
+        got = stage(spark, extras, SF_DIR)
+        assert got.columns[: len(extras.columns)] == extras.columns, name
+        rows = got.collect()
+        for r in rows:
+            assert all(r[c] == str(r["doc_id"] * (k + 1)) for k, c in enumerate(CLASHING)), name
+        assert sorted((tuple(v for k, v in r.asDict().items() if k not in CLASHING) for r in rows), key=repr) == plain, name
+    with pytest.raises(ValueError):
+        corpus_pipeline.encode(spark, docs.withColumn("token_ids", F.lit(1)), SF_DIR)
