@@ -15,12 +15,18 @@ def dedup_corpus(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     Paragraphs are equal up to case and outer blanks, as within one text.  The
     first place of each is a minimum per hash, folded map-side, so a paragraph
     that a third of all documents share is one row per task.  Documents that
-    lose all paragraphs stay, with an empty text; ids name the documents.
+    lose all paragraphs stay, with an empty text.  A document is its id with
+    its text: texts under one id stay apart (the earlier by text hash first),
+    rows equal in both are copies that get the same text, and documents with
+    a null id come after all others.
     """
-    parts = documents.select(F.col(id_column).alias("id"), F.posexplode(F.split(F.col(text), fixed.PARAGRAPH_BREAK)).alias("at", "part"))
+    rows = documents.select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
+    parts = rows.select("id", "th", F.posexplode(F.split(F.col("t"), fixed.PARAGRAPH_BREAK)).alias("at", "part"))
     keyed = parts.withColumn("key", F.lower(strip(F.col("part")))).where("key <> ''")
-    firsts = keyed.groupBy(F.sha2("key", 256).alias("hash")).agg(F.min(F.struct("id", "at", "part")).alias("first")).select("first.*")
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "th", "at", "part")
+    firsts = keyed.groupBy(F.sha2("key", 256).alias("hash")).agg(F.min(place).alias("first")).select("first.*")
     in_order = F.sort_array(F.collect_list(F.struct("at", "part")))
-    kept = firsts.groupBy("id").agg(F.array_join(F.transform(in_order, lambda p: p["part"]), fixed.PARAGRAPH_BREAK).alias("kept"))
-    whole = documents.select(F.col(id_column).alias("id"), F.col(text).isNull().alias("missing")).join(kept, "id", "left")
-    return whole.select(F.col("id").alias(id_column), F.when(~F.col("missing"), F.coalesce("kept", F.lit(""))).alias(text))
+    kept = firsts.groupBy(F.col("id").alias("kid"), F.col("th").alias("kth")).agg(F.array_join(F.transform(in_order, lambda p: p["part"]), fixed.PARAGRAPH_BREAK).alias("kept"))
+    whole = rows.select("id", "th", F.col("t").isNull().alias("missing"))
+    joined = whole.join(kept, F.col("id").eqNullSafe(F.col("kid")) & (F.col("th") == F.col("kth")), "left")
+    return joined.select(F.col("id").alias(id_column), F.when(~F.col("missing"), F.coalesce("kept", F.lit(""))).alias(text))
