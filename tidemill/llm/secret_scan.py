@@ -3,8 +3,8 @@
 Strong spans stand alone: assigned secrets, access identifiers and long hex
 strings.  Weak candidates are identifiers, unlabelled random strings and
 endpoints, each harmless by itself.  An interval join inside a scope (a block
-of lines without a blank line, and at most ``REACH`` code points between two
-parts) reports a weak candidate only when its complement is there:
+of lines without a blank line, whatever its length) reports a weak candidate
+only when its complement is there:
 
 * an identifier next to a strong secret, a random string next to a strong identifier;
 * a weak identifier and a random string only if an endpoint is near as well;
@@ -32,7 +32,6 @@ from pyspark.sql import types as T
 from tidemill.llm.arrow_text import slices
 
 KINDS = ("assign", "access", "hex")
-REACH = 300
 
 # The strong patterns.  Letters of key words match in either case, ASCII only.
 _KEYWORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token", "api_?key"))
@@ -101,7 +100,7 @@ def linked_spans(text: str, strong: list[Span]) -> list[tuple[str, int, int]]:
     def scope(a: int, b: int) -> tuple[int, int]:
         k = bisect_right(breaks, a)
         low, high = (breaks[k - 1] if k else 0), (breaks[k] if k < len(breaks) else len(text) + 1)
-        return max(low, a - REACH), min(high, b + REACH)
+        return low, high
 
     found = []
     for span in weak_ids:
