@@ -39,7 +39,7 @@ def test_bounds_never_exclude_a_better_document():
     texts = [" ".join(rng.choice(words, rng.integers(1, 200))) for _ in range(400)]
     counted = [brute.Counter(t.split()) for t in texts]
     n = np.array([len(t.split()) for t in texts])
-    block = lexical.Block([(1, "w3", sum(1 for c in counted if c["w3"]), [5, 9]), (1, "w7", sum(1 for c in counted if c["w7"]), [11, 2])], 400, int(n.sum()))
+    block = lexical.Block([(1, "w3", sum(1 for c in counted if c["w3"]), [[5, 9]]), (1, "w7", sum(1 for c in counted if c["w7"]), [[11, 2]])], 400, int(n.sum()))
     bits = pa.array([sorted({b for w, bs in (("w3", [5, 9]), ("w7", [11, 2])) if c[w] for b in bs} | {100}) for c in counted], pa.list_(pa.int32()))
     found, rescored = lexical.rank_batch(block, np.arange(400), pa.array(texts), n, lexical._slices(bits, 400), k=10)
     assert rescored < 400

@@ -14,8 +14,11 @@ The score of a document for an item is
 with ``w(t) = floor(1000 ln((2N + 2) / (2 df + 1)))`` and
 ``m = 50 + (50 n N) div L`` (``N`` documents with a term, ``L`` all their
 terms, ``n`` the document's terms, ``df``/``tf`` as usual).  A term's part
-grows with ``tf`` and ``tf <= n``, so the weighted slice sum of an item times
-the part at ``tf = n`` is an upper bound of the score.  Within a batch, the
+grows with ``tf``; besides each distinct term, a document's signature holds
+every term met at least ``2^j`` times in tier ``j`` (1 to ``TIERS``, found on
+the JVM as equal elements ``2^j - 1`` apart in its sorted terms), so the highest
+tier whose slices hold a term bounds its ``tf`` (by ``n`` in the last), and the
+slice sums weighted by the part at that bound are an upper bound of the score.  Within a batch, the
 documents are rescored exactly (their text tokenised once per batch) in order
 of falling bound, until the 50th exact score exceeds the next bound: every
 document not provably excluded is rescored.  The best 50 of every batch meet in
@@ -52,6 +55,8 @@ TOP = 50
 
 BITS = 8_192
 HASHES = 2
+#: Frequency tiers: a term met at least 2, 4, .. 2^TIERS times sets bits of its own in each.
+TIERS = 5
 BLOCK_TERMS = 200_000
 #: Rows laid out bit-sliced at once.
 SLICE_ROWS = 4_096
@@ -64,18 +69,29 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(TERM), 0)
 
 
-def bits_of(term: Column) -> Column:
-    """The signature bits that a term sets."""
-    return F.array(*[F.pmod(F.xxhash64(F.lit(j), term), F.lit(BITS)).cast("int") for j in range(HASHES)])
+def bits_of(term: Column, tier: int = 0) -> Column:
+    """The signature bits that a term sets in a tier: tier ``j > 0`` holds terms met at least ``2^j`` times."""
+    return F.array(*[F.pmod(F.xxhash64(F.lit(j), F.lit(tier), term) if tier else F.xxhash64(F.lit(j), term), F.lit(BITS)).cast("int") for j in range(HASHES)])
+
+
+def _in_tier(tier: int):
+    return lambda term: bits_of(term, tier)
+
+
+def _repeated(ordered: Column, size: Column, step: int) -> Column:
+    """Distinct terms of a sorted array that occur at least ``step + 1`` times: equal elements ``step`` apart."""
+    places = F.filter(F.sequence(F.lit(1), size - step), lambda i: F.element_at(ordered, i) == F.element_at(ordered, i + step))
+    return F.when(size > step, F.array_distinct(F.transform(places, lambda i: F.element_at(ordered, i)))).otherwise(F.array().cast("array<string>"))
 
 
 def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, text, n, bits)``: the index of every row, bits as the positions set."""
+    """``(doc_id, text, n, bits)``: the index of every row, bits as the positions set, all tiers in one signature."""
     terms = terms_of(F.col(text))
-    return documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), terms.alias("terms")).select(
-        "doc_id", "text", F.size("terms").cast("long").alias("n"),
-        F.array_distinct(F.flatten(F.transform(F.array_distinct("terms"), bits_of))).alias("bits"),
-    )
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.array_sort(terms).alias("terms"))
+    size = F.size("terms")
+    tiers = [F.transform(F.array_distinct("terms"), lambda t: bits_of(t))]
+    tiers += [F.transform(_repeated(F.col("terms"), size, (1 << j) - 1), _in_tier(j)) for j in range(1, TIERS + 1)]
+    return rows.select("doc_id", "text", size.cast("long").alias("n"), F.array_distinct(F.flatten(F.flatten(F.array(*tiers)))).alias("bits"))
 
 
 def part_of(tf: int, m: int) -> int:
@@ -89,9 +105,9 @@ def weight(documents: int, df: int) -> int:
 class Block:
     """Items of a block: their terms with weights and signature bits."""
 
-    def __init__(self, rows: list[tuple[int, str, int, list[int]]], documents: int, total: int):
+    def __init__(self, rows: list[tuple[int, str, int, list[list[int]]]], documents: int, total: int):
         self.documents, self.total = documents, total
-        self.items: dict[int, list[tuple[str, int, list[int]]]] = {}
+        self.items: dict[int, list[tuple[str, int, list[list[int]]]]] = {}
         for item, term, df, bits in rows:
             self.items.setdefault(item, []).append((term, weight(documents, df), bits))
 
@@ -110,17 +126,21 @@ def rank_batch(block: Block, doc_ids: np.ndarray, texts: pa.Array, n: np.ndarray
     count = len(doc_ids)
     n = n.astype(np.int64)
     m = 50 + (50 * n * block.documents) // max(block.total, 1)
-    cap = ((1_000_000_000 * n) // (1000 * n + 20 * m)).astype(np.float64)
     counted: dict[int, Counter] = {}
     found, rescored = {}, 0
     for item, terms in block.items.items():
-        weights = np.zeros(count)
-        for _, w, bits in terms:
+        bound = np.zeros(count)
+        for _, w, tiers in terms:
             if w <= 0:
                 continue
-            maybe = np.bitwise_and.reduce(slices[bits], axis=0)
-            weights += w * np.unpackbits(maybe, count=count).astype(np.float64)
-        bound = weights * cap
+            # The highest tier whose bits are all set bounds tf; false positives only raise it.
+            most = np.zeros(count, np.int64)
+            present = np.ones(count, bool)
+            for j, bits in enumerate(tiers):
+                present &= np.unpackbits(np.bitwise_and.reduce(slices[bits], axis=0), count=count).astype(bool)
+                most = np.where(present, (2 << j) - 1 if j < len(tiers) - 1 else n, most)
+            tf = np.minimum(most, n)
+            bound += w * ((1_000_000_000 * tf) // np.maximum(1000 * tf + 20 * m, 1)).astype(np.float64)
         order = np.lexsort((doc_ids, -bound))
         best: list[tuple[int, int]] = []
         for i in order:
@@ -190,7 +210,8 @@ def search(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     counted = cut_lineage(counted, "term-counts")
     stats = counted.where("term = ''").select("N", "L").first() or {"N": 0, "L": 0}
     df = counted.where("term <> ''").select("term", "df")
-    rows = item_terms.join(df, "term", "left").select("item_id", "term", F.coalesce("df", F.lit(0)).alias("df"), bits_of(F.col("term")).alias("bits"))
+    tiers = F.array(*[bits_of(F.col("term"), j) for j in range(TIERS + 1)])
+    rows = item_terms.join(df, "term", "left").select("item_id", "term", F.coalesce("df", F.lit(0)).alias("df"), tiers.alias("bits"))
     parts = []
     for chosen in _item_blocks(rows):
         block = Block([(r["item_id"], r["term"], r["df"], r["bits"]) for r in chosen.collect()], stats["N"], stats["L"])
