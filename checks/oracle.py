@@ -401,6 +401,11 @@ def oracle() -> dict[str, str]:
             union all select 'cells_filled', 'segment', count(*) from kept where {is_blank('segment')}
             union all select 'cells_filled', 'balance', count(*) from kept where {is_blank('balance')}
             union all select 'cells_filled', 'added', count(*) from kept""",
+        "clean_report_observed": f"""with {DIRTY}, {STRIPPED}, kept as (select distinct * from stripped)
+            select 'rows_removed' as change, '' as target, (select count(*) from stripped) - (select count(*) from kept) as n
+            union all select 'cells_filled', 'segment', count(*) from kept where {is_blank('segment')}
+            union all select 'cells_filled', 'balance', count(*) from kept where {is_blank('balance')}
+            union all select 'cells_filled', 'added', count(*) from kept""",
         "profile_completeness": f"""with {CELLS} select col as "column", total_rows, non_null, total_rows - non_null as null_count,
             round((total_rows - non_null) / total_rows * 100, 1) as null_pct, unique_count from base""",
         "profile_types": f'with {CELLS} select col as "column", n_num, type from typed',

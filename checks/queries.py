@@ -230,6 +230,13 @@ def clean_report(spark, sf):
     return table_cleaning.cleaning_report(dirty_customers(spark, sf), CLEANING)
 
 
+@query
+def clean_report_observed(spark, sf):
+    """The cleaning report as metrics of the write of the cleaned table."""
+    entries = table_cleaning.clean_and_report(dirty_customers(spark, sf), scratch_path(spark, "cleaned"), CLEANING)
+    return spark.createDataFrame(entries, "change string, target string, n long")
+
+
 @query
 def csv_job(spark, sf):
     source, target = scratch_path(spark, "csv-job-in"), scratch_path(spark, "csv-job-out")

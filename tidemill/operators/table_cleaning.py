@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -113,3 +113,31 @@ def cleaning_report(df: DataFrame, cleaning: TableCleaning = TableCleaning()) ->
         for i, (change, target, _) in enumerate(entries)
     ]
     return one_row.select(F.inline(F.array(*steps)))
+
+
+def clean_and_report(df: DataFrame, path: str, cleaning: TableCleaning = TableCleaning()) -> list[tuple[str, str, int]]:
+    """Write :func:`clean_table` of ``df`` to ``path``; return :func:`cleaning_report`'s rows from that one write.
+
+    The counts are metrics observed while the write runs: rows before and
+    after dropping duplicates, and blank cells of the kept rows before they
+    are filled.  No second scan of the input is made.
+    """
+    columns = df.columns
+    if cleaning.strip_whitespace:
+        df = strip_all(df)
+    before, after = Observation("rows in"), Observation("rows kept")
+    df = df.observe(before, F.count(F.lit(1)).alias("rows"))
+    if cleaning.remove_duplicates:
+        df = drop_duplicate_rows(df)
+    blanks = [
+        F.coalesce(F.sum(F.when(is_blank(F.col(name)) if name in columns else F.lit(True), 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"_{i}")
+        for i, name in enumerate(cleaning.fill_nulls)
+    ]
+    df = df.observe(after, F.count(F.lit(1)).alias("rows"), *blanks)
+    df = fill_blanks(df, cleaning.fill_nulls)
+    df = filter_allowed(df, cleaning.filter_rows)
+    rename(df.drop(*cleaning.drop_columns), cleaning.rename_columns).write.parquet(path)
+    kept = after.get
+    entries = [("rows_removed", "", before.get["rows"] - kept["rows"])]
+    entries += [("cells_filled", name, kept[f"_{i}"]) for i, name in enumerate(cleaning.fill_nulls)]
+    return entries
