@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions import chunking, cleaning, extraction
+from tidemill.functions.batches import text_slices
 from tidemill.functions.cleaning import CleaningOptions
 from tidemill.operators import reports
 from tidemill.plans.jobs import clean_corpus
@@ -178,3 +180,24 @@ def test_character_chunks_in_spark(apply):
     texts = ["First line. Second one.\n\nAnother paragraph", None, ""]
     got = apply(lambda c: chunking.chunk_characters(c, 20, 5), *texts)
     assert got == [chunking.split_characters(texts[0], 20, 5), None, []]
+
+
+def test_text_slices_are_bounded_and_whole():
+    texts = pa.array(["é" * 300, None, "", "b" * 5000] * 500)
+    slices = list(text_slices(texts.slice(1), most=20_000))
+    assert [t for s in slices for t in s.to_pylist()] == texts.to_pylist()[1:]
+    assert max(sum(len((t or "").encode()) for t in s.to_pylist()) for s in slices) <= 20_000 + 5000
+    assert [len(s) for s in text_slices(pa.array([], pa.string()))] == [0]
+
+
+def test_texts_of_a_batch_are_read_in_slices(spark, monkeypatch):
+    """A batch of many long texts never becomes Python strings at once."""
+    from tidemill.functions import chunking, embedding, html
+
+    rows = [(i, f"<p>{i} " + "word " * 3000 + "</p>") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    for function in (chunking.chunk_characters, embedding.hashing_embedding, html.html_blocks):
+        found = function(F.col("text"))
+        assert df.select("id", found.alias("r")).where(F.size("r") > 0).count() == 300
+    for module in (chunking, embedding, html):
+        assert module.text_slices is text_slices

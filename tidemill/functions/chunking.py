@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
+from .batches import text_slices
 from .blank import let, words
 
 CHUNK_SIZE = 1000
@@ -84,8 +86,11 @@ def chunk_characters(c: Column, size: int = CHUNK_SIZE, overlap: int = OVERLAP)
     """
     _check(size, overlap)
 
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else split_characters(t, size, overlap))
+    @F.arrow_udf("array<string>")
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for texts in text_slices(batch):
+                chunks = [None if t is None else split_characters(t, size, overlap) for t in texts.to_pylist()]
+                yield pa.array(chunks, pa.list_(pa.string()))
 
     return split.asNondeterministic()(c)  # so that no filter evaluates it again

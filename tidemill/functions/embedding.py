@@ -13,9 +13,12 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .batches import text_slices
+
 DIMENSION = 64
 CACHED_WORDS = 1 << 17
 
@@ -47,14 +50,15 @@ def hash_texts(texts: list[str | None], dimension: int, hash_of: Callable[[str],
 def hashing_embedding(c: Column, dimension: int = DIMENSION) -> Column:
     """Deterministic feature hashing.
 
-    An Arrow UDF, because words repeat: each distinct word of a batch is
+    An Arrow UDF, because words repeat: each distinct word of a slice is
     hashed once, and one count over rows and buckets gives all vectors.
     """
 
-    @F.pandas_udf("array<float>")
-    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hash_of = lru_cache(maxsize=CACHED_WORDS)(word_hash)
-        for texts in batches:
-            yield pd.Series(hash_texts(texts.tolist(), dimension, hash_of), index=texts.index, dtype=object)
+        for batch in batches:
+            for texts in text_slices(batch):
+                yield pa.array(hash_texts(texts.to_pylist(), dimension, hash_of), pa.list_(pa.float32()))
 
     return embed.asNondeterministic()(c)  # so that no filter evaluates it again
