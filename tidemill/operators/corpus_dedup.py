@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions.blank import strip
+from ..functions.blank import let, strip
 
 
 def dedup_corpus(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -23,10 +23,10 @@ def dedup_corpus(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     rows = documents.select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
     parts = rows.select("id", "th", F.posexplode(F.split(F.col("t"), fixed.PARAGRAPH_BREAK)).alias("at", "part"))
     keyed = parts.withColumn("key", F.lower(strip(F.col("part")))).where("key <> ''")
-    place = F.struct(F.col("id").isNull().alias("late"), "id", "th", "at", "part")
-    firsts = keyed.groupBy(F.sha2("key", 256).alias("hash")).agg(F.min(place).alias("first")).select("first.*")
-    in_order = F.sort_array(F.collect_list(F.struct("at", "part")))
-    kept = firsts.groupBy(F.col("id").alias("kid"), F.col("th").alias("kth")).agg(F.array_join(F.transform(in_order, lambda p: p["part"]), fixed.PARAGRAPH_BREAK).alias("kept"))
-    whole = rows.select("id", "th", F.col("t").isNull().alias("missing"))
-    joined = whole.join(kept, F.col("id").eqNullSafe(F.col("kid")) & (F.col("th") == F.col("kth")), "left")
-    return joined.select(F.col("id").alias(id_column), F.when(~F.col("missing"), F.coalesce("kept", F.lit(""))).alias(text))
+    # Places travel without their paragraphs: a text shuffles once, when it meets the places it keeps.
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "th", "at")
+    firsts = keyed.groupBy(F.unhex(F.sha2("key", 256)).alias("hash")).agg(F.min(place).alias("first")).select("first.*")
+    kept = firsts.groupBy(F.col("id").alias("kid"), F.col("th").alias("kth")).agg(F.sort_array(F.collect_list("at")).alias("places"))
+    joined = rows.join(kept, F.col("id").eqNullSafe(F.col("kid")) & (F.col("th") == F.col("kth")), "left")
+    left = let(F.split(F.col("t"), fixed.PARAGRAPH_BREAK), lambda parts: F.array_join(F.transform("places", lambda at: F.get(parts, at)), fixed.PARAGRAPH_BREAK))
+    return joined.select(F.col("id").alias(id_column), F.when(F.col("t").isNotNull(), F.coalesce(left, F.lit(""))).alias(text))
