@@ -39,3 +39,20 @@ def test_search_reaches_the_recall_it_measured(spark, vectors, tmp_path):
     assert cell_index.recall(found, exact, "vec_id").agg(F.avg("recall")).first()[0] >= 0.9
     every = cell_index.search(index, queries, 4, len(index.centroids))
     assert sorted(map(tuple, every.collect())) == sorted(map(tuple, exact.select("query_id", "rank", "vec_id", "score").collect()))
+
+
+def test_groups_hold_every_cell_and_all_cells_give_the_exact_answer(spark, vectors, tmp_path, monkeypatch):
+    """Cells meet queries in groups of bounded rows; small groups and blocks change nothing."""
+    monkeypatch.setattr(cell_index, "GROUP_ROWS", 100)
+    monkeypatch.setattr(cell_index, "BLOCK_ROWS", 50)
+    index = cell_index.build(vectors, str(tmp_path / "grouped"))
+    rows = {r["cell"]: r["rows"] for r in index.cells(spark).collect()}
+    units = cell_index._cell_groups(index, spark)
+    assert {c for c, _, _ in units} == {c for c, n in rows.items() if n}
+    for group in {g for _, _, g in units}:
+        held = [rows[c] for c, _, g in units if g == group]
+        assert len(held) == 1 or sum(held) <= 100
+    queries = vectors.select(F.col("vec_id").alias("query_id"), "embedding").where("query_id % 7 = 0")
+    asked = [tuple(r) for r in cell_index.search(index, queries, 4, len(index.centroids)).collect()]
+    exact = nearest(vectors.select("vec_id", "embedding"), queries, 4, id_column="vec_id")
+    assert sorted(asked) == sorted(tuple(r) for r in exact.collect())

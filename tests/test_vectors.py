@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions.embedding import hash_text, hashing_embedding
+from tidemill.operators import vector_search
 from tidemill.operators.vector_search import nearest
 from tidemill.plans import jobs
 
@@ -85,3 +86,17 @@ def test_many_equal_vectors_are_cut_before_they_are_taken(spark):
     rows = found.orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["rank"], r["chunk_id"]) for r in rows] == [(q, k + 1, k) for q in range(50) for k in range(4)]
     assert rows[0]["content"] == "text " * 50
+
+
+def test_many_queries_repeat_the_store_for_few_blocks(spark, monkeypatch):
+    """The store is repeated once a block, so blocks are as large as a cell of the store."""
+    seen = []
+
+    def counted(store, queries, k, id_column, vector, schema, blocks, cell_rows):
+        seen.append(blocks)
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(vector_search, "_search_blocks", counted)
+    rows = spark.range(30_000).select(F.col("id").alias("query_id"), F.array(F.lit(1.0).cast("float")).alias("embedding"))
+    vector_search.nearest(rows.select(F.col("query_id").alias("chunk_id"), "embedding"), rows, 2)
+    assert seen[0] <= max(30_000 // vector_search.CELL_ROWS + 1, 4)

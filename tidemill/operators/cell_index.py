@@ -11,9 +11,10 @@ Building the index:
 * the store is written partitioned by cell, beside a table of centroids with
   their row counts, so that a search reads only the folders of its cells.
 
-Searching: every query lists its ``probes`` nearest centroids; query and store
-rows meet per (cell, sub-cell), the ``k`` nearest of each meeting are kept, and
-a window per query merges them (ties by id).  ``probes`` is the caller's, or
+Searching: every query lists its ``probes`` nearest centroids; store rows, in
+groups of cells, and queries, in blocks, meet once per (group, block), each
+query against the cells it lists there; the ``k`` nearest of each meeting are
+kept, and a window per query merges them (ties by id).  ``probes`` is the caller's, or
 the smallest power of two whose measured recall reaches ``TARGET`` on a seeded
 calibration set of at most ``CALIBRATION`` queries compared with the exact
 search; all cells give the exact answer.
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import sqrt
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from .vector_search import _matrix, _scored, nearest
+from .vector_search import BLOCK_ROWS, _keep, _matrix, _scored, block_side, nearest
 
 SAMPLE_ROWS = 20_000
 SPLIT_ROWS = 20_000
+# Store rows of the cells that meet queries in one task, and queries whose cells are listed at once.
+GROUP_ROWS = 20_000
+PROBE_ROWS = 1024
 ITERATIONS = 12
 SEED = 7
 TARGET = 0.95
@@ -130,42 +134,91 @@ def build(store: DataFrame, path: str, id_column: str = "vec_id", vector: str =
     return CellStore(path, centres, id_column, vector)
 
 
+def _cell_groups(index: CellStore, spark: SparkSession) -> list[tuple[int, int, int]]:
+    """``(cell, sub, group)`` of all sub-cells: neighbours in number share a group of about ``GROUP_ROWS`` rows."""
+    units, group, held = [], 0, 0
+    for cell, rows, subs in sorted(index.cells(spark).where("subs is not null").select("cell", "rows", "subs").toLocalIterator()):
+        for sub in range(subs):
+            if held and held + rows / subs > GROUP_ROWS:
+                group, held = group + 1, 0
+            units.append((cell, sub, group))
+            held += rows / subs
+    return units
+
+
 def search(index: CellStore, queries: DataFrame, k: int, probes: int) -> DataFrame:
-    """``(query_id, rank, id, score)``: the ``k`` nearest rows among the ``probes`` nearest cells."""
+    """``(query_id, rank, id, score)``: the ``k`` nearest rows among the ``probes`` nearest cells.
+
+    Cells meet queries in groups: a query goes once to every group that holds
+    one of its cells, with the list of those cells, in blocks of queries of
+    bounded size.
+    """
     spark = queries.sparkSession
     centres = index.centroids
-    cells_of = "query_id long, embedding array<float>, cell int"
     names = queries.select("query_id", "embedding")
+    units = _cell_groups(index, spark)
+    groups_of: list[list[int]] = [[] for _ in range(len(centres))]
+    for cell, _, group in units:
+        if group not in groups_of[cell]:
+            groups_of[cell].append(group)
+    counts = np.array([len(g) for g in groups_of], np.int64)
+    starts, flat = np.cumsum(counts) - counts, np.array([g for of in groups_of for g in of], np.int64)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(batch["embedding"].is_valid())
-            if not batch.num_rows or not len(centres):
-                continue
-            matrix = _matrix(batch["embedding"])
-            near = _nearest_cells(matrix, centres, probes)
-            repeat = pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1]))
-            yield pa.RecordBatch.from_arrays(
-                [batch["query_id"].take(repeat), batch["embedding"].take(repeat), pa.array(near.ravel().astype(np.int32))], names=["query_id", "embedding", "cell"]
-            )
-
-    asked = names.mapInArrow(probe, cells_of)
-    subs = index.cells(spark).select("cell", "subs")
-    asked = asked.join(F.broadcast(subs), "cell").withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).drop("subs")
-    rows = index.read(spark).select(index.id_column, index.vector, "cell", "sub")
-    rows = rows.join(asked.select("cell").distinct(), "cell", "left_semi")
+        for whole in batches:
+            for at in range(0, whole.num_rows, PROBE_ROWS):
+                batch = whole.slice(at, PROBE_ROWS)
+                batch = batch.filter(batch["embedding"].is_valid())
+                if not batch.num_rows or not len(centres):
+                    continue
+                near = _nearest_cells(_matrix(batch["embedding"]), centres, probes)
+                query, cell = np.repeat(np.arange(batch.num_rows), near.shape[1]), near.ravel()
+                times = counts[cell]
+                within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                group = flat[np.repeat(starts[cell], times) + within]
+                query, cell = np.repeat(query, times), np.repeat(cell, times)
+                order = np.lexsort((cell, group, query))
+                query, cell, group = query[order], cell[order], group[order]
+                new = np.flatnonzero(np.r_[True, (np.diff(query) != 0) | (np.diff(group) != 0)][: len(query)])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[new, len(query)].astype(np.int32)), pa.array(cell.astype(np.int32)))
+                at_row = pa.array(query[new])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["query_id"].take(at_row), batch["embedding"].take(at_row), lists, pa.array(group[new].astype(np.int32))],
+                    names=["query_id", "embedding", "cells", "group"],
+                )
+
+    blocks = max(ceil(queries.count() / BLOCK_ROWS), block_side(spark))
+    asked = names.mapInArrow(probe, "query_id long, embedding array<float>, cells array<int>, group int")
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    placed = spark.createDataFrame(units, "cell int, sub int, group int")
+    rows = index.read(spark).select(index.id_column, index.vector, "cell", "sub").join(F.broadcast(placed), ["cell", "sub"]).drop("sub")
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     schema = f"query_id long, {index.id_column} long, score double"
 
     def meet(store: pa.Table, block: pa.Table) -> pa.Table:
-        out = {"query_id": [], index.id_column: [], "score": []}
+        found = []
         if store.num_rows and block.num_rows:
+            store, block = store.combine_chunks(), block.combine_chunks()
             matrix = _matrix(block["embedding"])
-            best = _scored(store.select([index.id_column, index.vector]).combine_chunks().to_batches(), matrix, k, index.id_column, index.vector)
-            if best is not None:
-                return pa.table({"query_id": block["query_id"].take(best["query_at"]), index.id_column: best[index.id_column], "score": best["score"]})
-        return pa.table(out, schema=pa.schema([("query_id", pa.int64()), (index.id_column, pa.int64()), ("score", pa.float64())]))
-
-    found = rows.groupBy("cell", "sub").cogroup(asked.groupBy("cell", "sub")).applyInArrow(meet, schema)
+            lists = block["cells"].combine_chunks()
+            lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
+            asks, asked_cell = np.repeat(np.arange(block.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+            cell = store["cell"].to_numpy()
+            for c in np.unique(cell):
+                some = asks[asked_cell == c]
+                if not len(some):
+                    continue
+                held = store.select([index.id_column, index.vector]).take(pa.array(np.flatnonzero(cell == c))).combine_chunks()
+                best = _scored(held.to_batches(), matrix[some], k, index.id_column, index.vector)
+                if best is not None:
+                    at = pa.array(some[best["query_at"].to_numpy()], pa.int64())
+                    found.append(pa.table({"query_at": at, index.id_column: best[index.id_column], "score": best["score"]}))
+        if not found:
+            return pa.table({"query_id": [], index.id_column: [], "score": []}, schema=pa.schema([("query_id", pa.int64()), (index.id_column, pa.int64()), ("score", pa.float64())]))
+        best = _keep(pa.concat_tables(found), k, index.id_column)
+        return pa.table({"query_id": block["query_id"].take(best["query_at"]), index.id_column: best[index.id_column], "score": best["score"]})
+
+    found = rows.groupBy("group", "block").cogroup(asked.groupBy("group", "block")).applyInArrow(meet, schema)
     order = Window.partitionBy("query_id").orderBy("score", index.id_column)
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", index.id_column, "score")

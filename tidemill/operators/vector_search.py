@@ -11,12 +11,12 @@ non-finite component have no distance: they are never found.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -26,8 +26,9 @@ TOP_K = 4
 # Query vectors sent to every task: at most this many rows and bytes.
 QUERY_ROWS = 2048
 QUERY_BYTES = 64 << 20
-# Store rows in one cell of the blocked search.
+# Store rows and query rows in one cell of the blocked search: larger cells repeat both sides less often.
 CELL_ROWS = 20_000
+BLOCK_ROWS = 20_000
 MERGE_GROUPS = 256
 # Distances measured at once in a task.
 TILE = 4 << 20
@@ -139,6 +140,11 @@ def _merge(partial: DataFrame, k: int, id_column: str) -> DataFrame:
     return ranked.filter(F.col("rank") <= k)
 
 
+def block_side(spark: SparkSession) -> int:
+    """Slices and blocks that keep every core busy however few the rows."""
+    return ceil(sqrt(2 * spark.sparkContext.defaultParallelism))
+
+
 def nearest(
     store: DataFrame, queries: DataFrame, k: int = TOP_K, id_column: str = "chunk_id",
     vector: str = "embedding", query_rows: int = QUERY_ROWS, cell_rows: int = CELL_ROWS,
@@ -159,8 +165,8 @@ def nearest(
     if size["rows"] <= query_rows and size["rows"] * size["width"] * 4 <= QUERY_BYTES:
         partial = _search_with_all(narrow, queries.toArrow(), k, id_column, vector, schema)
     else:
-        per_block = max(1, min(query_rows, QUERY_BYTES // (4 * max(size["width"], 1))) // 2)
-        blocks = ceil(size["rows"] / per_block)
+        per_block = max(1, min(BLOCK_ROWS, QUERY_BYTES // (4 * max(size["width"], 1))))
+        blocks = max(ceil(size["rows"] / per_block), block_side(store.sparkSession))
         partial = _search_blocks(narrow, queries, k, id_column, vector, schema, blocks, cell_rows)
     hits = _merge(partial, k, id_column).select("query_id", "rank", id_column, "score")
     if not payload:
@@ -190,7 +196,7 @@ def _search_blocks(store, queries, k, id_column, vector, schema, blocks, cell_ro
 
     Rows are spread over slices and blocks by the hash of their id.
     """
-    slices = max(1, ceil(store.count() / cell_rows))
+    slices = max(block_side(store.sparkSession), ceil(store.count() / cell_rows))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     left = store.withColumn("_slice", F.pmod(F.xxhash64(id_column), F.lit(slices)).cast("int")).withColumn(
