@@ -55,3 +55,58 @@ def test_empty_inputs_and_clashing_columns(spark):
     assert lexical.search(empty, spark.createDataFrame([(1, "river")], "item_id long, text string")).count() == 0
     got = [tuple(r) for r in lexical.search(docs, spark.createDataFrame([(1, "river")], "item_id long, text string")).collect()]
     assert got == [(1, 1, 1, brute.lexical_search([(1, "river stone")], [(1, "river")])[0][3])]
+
+
+def test_tiers_spare_documents_that_plain_signatures_rescore():
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words, rng.integers(20, 120))) for _ in range(1500)]
+    counted = [brute.Counter(t.split()) for t in texts]
+    n, bits, tiers = lexical.index(pa.array(texts))
+    assert n.tolist() == [len(t.split()) for t in texts]
+    asked = ["w3", "w7", "w11"]
+    places = lexical.term_bits([t.encode() for t in asked]).tolist()
+    block = lexical.Block([(1, t, sum(1 for c in counted if c[t]), p) for t, p in zip(asked, places, strict=True)], 1500, int(n.sum()))
+    plain, many = lexical.rank_batch(block, np.arange(1500), pa.array(texts), n, lexical._slices(bits, 1500), k=10)
+    found, few = lexical.rank_batch(block, np.arange(1500), pa.array(texts), n, lexical._slices(bits, 1500, tiers), k=10)
+    assert found == plain
+    assert few < 100 < many / 5
+
+
+@pytest.mark.parametrize("piece", [7, 64, 1 << 20])
+def test_counts_and_tiers_of_texts_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(lexical, "PIECE", piece)
+    texts = ["River" * 9 + " stone RIVER", None, "", "lamp,lamp;lamp" + " lamp" * 30, "lamp", "über Über ñ x 9_9", "a\0b\0a", "!!!", "stone" * 40]
+    counted = [brute.Counter(lexical._TERM.findall((t or "").encode().lower())) for t in texts]
+    column = pa.array(["cut off", *texts, "cut off"]).slice(1, len(texts))
+    n, bits, tiers = lexical.index(column)
+    assert n.tolist() == [sum(c.values()) for c in counted]
+    terms = sorted({t for c in counted for t in c} | {b"nowhere"})
+    planes = np.unpackbits(lexical._slices(bits, len(texts), tiers), axis=2, count=len(texts))
+    for term, (a, b) in zip(terms, lexical.term_bits(terms).tolist(), strict=True):
+        tier = (planes[:, a] & planes[:, b]).sum(axis=0)
+        assert tier.tolist() == np.searchsorted(lexical.TIERS, [c[term] for c in counted], "right").tolist()
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    (out,) = lexical._count(terms)([batch, batch.slice(0, 0), batch.slice(3, 2)])
+    got = {r["term"]: (r["docs"], r["terms"]) for r in out.to_pylist()}
+    twice = counted + counted[3:5]
+    assert got == {i: (df, 0) for i, t in enumerate(terms) if (df := sum(1 for c in twice if c[t]))} | {-1: (sum(1 for c in twice if c), sum(sum(c.values()) for c in twice))}
+
+
+def test_best_of_a_task_over_batches_of_any_size(case, monkeypatch):
+    docs, items = case
+    want = sorted((i, d, s) for i, _, d, s in brute.lexical_search(docs, items))
+    pairs = [(i, t) for i, text in items if i is not None for t in dict.fromkeys(x.decode() for x in lexical._TERM.findall((text or "").encode().lower()))]
+    terms = sorted({t for _, t in pairs})
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in docs], pa.int64()), pa.array([t for _, t in docs])], names=["doc_id", "text"])
+    for rows, size, group in ((1 << 20, 1 << 20, 5000), (3, 1 << 20, 2), (50, 100, 9)):
+        monkeypatch.setattr(lexical, "BATCH_ROWS", rows)
+        monkeypatch.setattr(lexical, "BATCH_BYTES", size)
+        monkeypatch.setattr(lexical, "GROUP_TERMS", group)
+        (out,) = lexical._count([t.encode() for t in terms])([batch.select(["text"])])
+        told = {r["term"]: r for r in out.to_pylist()}
+        df = {t: told[i]["docs"] if i in told else 0 for i, t in enumerate(terms)}
+        bits = dict(zip(terms, lexical.term_bits([t.encode() for t in terms]).tolist(), strict=True))
+        block = lexical.Block([(i, t, df[t], bits[t]) for i, t in pairs], told[-1]["docs"], told[-1]["terms"])
+        (found,) = lexical._scan(block)([batch])
+        assert sorted(tuple(r.values()) for r in found.to_pylist()) == want
