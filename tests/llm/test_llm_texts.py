@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import brute
 import numpy as np
@@ -121,6 +122,32 @@ def test_repeated_spans_equal_counting(spark, monkeypatch, crowd):
     assert repeated_spans.remove_repeats(frame.limit(0), length=40).count() == 0
 
 
+def test_shared_cores_enter_the_transform_abridged(monkeypatch):
+    """Fragments of 400-byte strings around parts met in many texts: counted right, with less than half of their bytes and a tenth of their length in the transform."""
+    rng = np.random.default_rng(5)
+    letters = lambda n: rng.integers(97, 105, n, np.uint8)
+    parts = [letters(1000) for _ in range(6)]
+    texts = [letters(300)] + [np.concatenate([letters(50), p[rng.integers(0, 330) : rng.integers(670, 1000)], letters(50)]) for p in parts for _ in range(40)]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    flat = np.concatenate(texts)
+    text, at, starts, pivot, file, content = repeated_spans.fragments(flat, bounds, 400, 128)
+    first = np.unique(np.stack([file, content], 1), axis=0, return_index=True)[1]
+    at, counts, pivots = (bounds[text] + at)[first], starts[first], pivot[first]
+    pieces = [flat[a : a + n + 399].tobytes() for a, n in zip(at, counts, strict=True)]
+    sizes = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+    given = []
+    monkeypatch.setattr(repeated_spans, "repeated_strings", lambda symbols, length: given.append((len(symbols), length)) or repeated_strings(symbols, length))
+    got = repeated_spans.repeated_starts(np.frombuffer(b"".join(pieces), np.uint8), sizes, pivots.astype(np.int64), counts.astype(np.int64), 400)
+    strings = [p[i : i + 400] for p in pieces for i in range(len(p) - 399)]
+    met = Counter(strings)
+    assert got.tolist() == [met[x] > 1 for x in strings]
+    assert 0 < got.sum() < len(got)
+    assert len(given) == 1 and given[0][0] < sizes[-1] / 2 and given[0][1] < 40
+    one = repeated_spans.repeated_starts(np.frombuffer(pieces[0], np.uint8), sizes[:2], pivots[:1].astype(np.int64), counts[:1].astype(np.int64), 400)
+    assert len(one) == counts[0] and not one.any()
+    assert len(repeated_spans.repeated_starts(flat[:0], sizes[:1], pivots[:0], counts[:0], 400)) == 0
+
+
 def test_near_duplicates_equal_all_pairs(docs, empty):
     for size, percent in ((3, 85), (5, 80)):
         want = brute.near_duplicates([r for r in rows_of(docs) if r[0] is not None], size, percent)
