@@ -1,6 +1,7 @@
 """Approximate neighbours over k-means cells, against the exact search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +57,19 @@ def test_groups_hold_every_cell_and_all_cells_give_the_exact_answer(spark, vecto
     asked = [tuple(r) for r in cell_index.search(index, queries, 4, len(index.centroids)).collect()]
     exact = nearest(vectors.select("vec_id", "embedding"), queries, 4, id_column="vec_id")
     assert sorted(asked) == sorted(tuple(r) for r in exact.collect())
+
+
+def test_calibration_takes_its_queries_once(spark, vectors, tmp_path):
+    """The rows come in another order whenever they are read, as from shuffled blocks, so a second sample holds others."""
+    index = cell_index.build(vectors, str(tmp_path / "shuffled"))
+
+    def shuffled(batches):
+        rng = np.random.default_rng()
+        for batch in batches:
+            yield batch.take(pa.array(rng.permutation(batch.num_rows)))
+
+    store = vectors.unionAll(spark.createDataFrame([(None, [0.0] * 8, 1)], vectors.schema)).mapInArrow(shuffled, vectors.schema)
+    for _ in range(3):
+        probes, measured = cell_index.calibrate(index, store, 4)
+        assert 1 <= probes <= len(index.centroids) and cell_index.TARGET <= measured <= 1
+    assert cell_index.calibrate(index, store.limit(0), 4) == (len(index.centroids), 1.0)

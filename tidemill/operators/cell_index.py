@@ -228,11 +228,12 @@ def calibrate(index: CellStore, store: DataFrame, k: int, target: float = TARGET
     """The fewest probes (a power of two, or all cells) whose recall on a sample of queries reaches ``target``."""
     spark = store.sparkSession
     picked = store.where(_usable(index.vector)).sample(fraction=min(1.0, 2.0 * CALIBRATION / max(store.count(), 1)), seed=SEED + 1)
-    asked = picked.select(F.col(index.id_column).alias("query_id"), index.vector).limit(CALIBRATION)
+    asked = picked.select(F.col(index.id_column).alias("query_id"), index.vector).where("query_id is not null")
+    vectors = asked.limit(CALIBRATION).toArrow()  # taken once: a second evaluation may take other rows
+    asked = spark.createDataFrame(vectors, asked.schema)
     exact = nearest(store.select(index.id_column, index.vector), asked, k, id_column=index.id_column)
     placed = index.read(spark).select(index.id_column, "cell")
     truth = exact.join(placed, index.id_column).select("query_id", "cell").toPandas()
-    vectors = asked.toArrow()
     if not len(truth) or not len(index.centroids):
         return max(1, len(index.centroids)), 1.0
     order = _nearest_cells(_matrix(vectors[index.vector]), index.centroids, len(index.centroids))
