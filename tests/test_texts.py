@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.functions import chunking, cleaning, extraction
+from tidemill.functions import chunking, cleaning, entity_batches, extraction, fixed_values
 from tidemill.functions.batches import text_slices
 from tidemill.functions.cleaning import CleaningOptions
 from tidemill.operators import reports
@@ -112,6 +112,36 @@ def test_harbour_log(spark):
     assert reports.entity_rows(df).count() == total
 
 
+def _flat(r):
+    names = ["emails", "phones", "urls", "dates", "monetary"]
+    return F.to_json(F.struct(*[r[n].alias(n) for n in names], F.map_entries(r["key_value_pairs"]).alias("pairs")))
+
+
+def test_batches_and_columns_give_the_same_records(apply, monkeypatch):
+    """Texts of all kinds side by side in one slice, some with letters, digits and blanks beyond ASCII."""
+    parts = [
+        "a@b.co", "1@c.de", "@", ".com", "+1", "(415)", " 555-0100", "1234", "12", "-", "/", "2024-01-02", "1/2/24", "Jan", "SEP", "5 Mar 2024",
+        "mayApr 5, 2024", " ", "\n", "\t", "\x1f", ",", "$", "€1,234.56", "£,", "USD", " EUR", "3.1415 USD", ".50", ":", "=", "k: v", "–", "“x”", "_", "x" * 60,
+        "https://ex.org/a?b=%20", "é", "ſ", "٣", "\xa0", "\u2028", "😀", "\x00",
+    ]
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(parts[: rng.choice([37, 37, len(parts)])]) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    texts += ["", None, "\n", "5 Mar 2024 Apr 2025", "Jan 5, 2024Feb 5, 2024", "a" * 3000 + "@" * 50, "1" * 400 + " USD", "k=\nk: 2\n k :3"]
+    want = apply(lambda c: _flat(extraction._record(c)), *texts)
+    assert apply(lambda c: _flat(extraction.extract_all(c)), *texts) == want
+    plain = [t for t in texts if t is not None and all(ord(x) < 128 or x in "€£–“”😀" for x in t)]
+    assert len(plain) > 1500
+    got = entity_batches.records(pa.array([*plain, None]))
+    assert len(got) == len(plain) + 1 and got[len(plain)].as_py() == {n: [] for n in got.type.names}
+    assert len(entity_batches.records(pa.array([], pa.string()))) == 0
+
+
+def test_most_texts_are_searched_in_batches(apply):
+    """Signs beyond ASCII that no class holds do not send a text to the columns, letters do."""
+    seen = apply(lambda c: ~F.rlike(c, F.lit(fixed_values.CLASSED_BEYOND_ASCII)), "plain", "€ £ – “x” … 😀", "é", "\xa0", "٣")
+    assert seen == [True, True, False, False, False]
+
+
 def test_money(apply):
     got = apply(extraction.extract_money, "$100 USD", "$,", "1,000 INR", "€5.50 €5.50", "12.345 EUR", None)
     as_tuples = [None if g is None else [tuple(m) for m in g] for g in got]
