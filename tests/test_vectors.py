@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,21 @@ def test_many_queries_repeat_the_store_for_few_blocks(spark, monkeypatch):
     rows = spark.range(30_000).select(F.col("id").alias("query_id"), F.array(F.lit(1.0).cast("float")).alias("embedding"))
     vector_search.nearest(rows.select(F.col("query_id").alias("chunk_id"), "embedding"), rows, 2)
     assert seen[0] <= max(30_000 // vector_search.CELL_ROWS + 1, 4)
+
+
+@pytest.mark.parametrize("scale", [1e-12, 1.0, 1e6, 1e14, 1e20])
+def test_rough_distances_leave_no_near_row_out(scale):
+    """Single or double precision, bounds over stretches, limits given before: the rows are those of a full sort."""
+    rng = np.random.default_rng(11)
+    rows = rng.standard_normal((1500, 9)) * scale
+    rows[700:1000] = rows[:300] * (1 + 1e-7)  # closer than single precision tells apart
+    rows[1000:1100] = rows[7]
+    queries = np.vstack([rows[:40], rng.standard_normal((10, 9)) * scale, np.full((1, 9), np.nan)])
+    with np.errstate(invalid="ignore"):
+        full = np.round(((queries[:, None, :] - rows[None]) ** 2).sum(2), vector_search.DECIMALS)
+    want = [(q, r, full[q, r]) for q in range(50) for r in np.lexsort((np.arange(len(rows)), full[q]))[:5].tolist()]
+    table = pa.table({"id": np.arange(len(rows)), "v": pa.array(rows.tolist(), pa.list_(pa.float64()))})
+    for limit in (None, np.sort(full, axis=1)[:, 4], np.full(51, full[:50].max())):
+        for chunk in (5000, 400, 4):
+            found = vector_search._scored(iter(table.to_batches(max_chunksize=chunk)), queries, 5, "id", "v", limit)
+            assert list(zip(found["query_at"].to_pylist(), found["id"].to_pylist(), found["score"].to_pylist(), strict=True)) == want

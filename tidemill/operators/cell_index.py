@@ -204,15 +204,19 @@ def search(index: CellStore, queries: DataFrame, k: int, probes: int) -> DataFra
             lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
             asks, asked_cell = np.repeat(np.arange(block.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
             cell = store["cell"].to_numpy()
+            nearest_yet = np.full((block.num_rows, k), np.inf)
             for c in np.unique(cell):
                 some = asks[asked_cell == c]
                 if not len(some):
                     continue
                 held = store.select([index.id_column, index.vector]).take(pa.array(np.flatnonzero(cell == c))).combine_chunks()
-                best = _scored(held.to_batches(), matrix[some], k, index.id_column, index.vector)
+                best = _scored(held.to_batches(), matrix[some], k, index.id_column, index.vector, nearest_yet[some, -1])
                 if best is not None:
-                    at = pa.array(some[best["query_at"].to_numpy()], pa.int64())
-                    found.append(pa.table({"query_at": at, index.id_column: best[index.id_column], "score": best["score"]}))
+                    query, score = best["query_at"].to_numpy(), best["score"].to_numpy()
+                    found.append(pa.table({"query_at": pa.array(some[query], pa.int64()), index.id_column: best[index.id_column], "score": best["score"]}))
+                    here = np.full((len(some), k), np.inf)
+                    here[query, np.arange(len(query)) - np.searchsorted(query, query)] = score
+                    nearest_yet[some] = np.sort(np.hstack([nearest_yet[some], here]), axis=1)[:, :k]
         if not found:
             return pa.table({"query_id": [], index.id_column: [], "score": []}, schema=pa.schema([("query_id", pa.int64()), (index.id_column, pa.int64()), ("score", pa.float64())]))
         best = _keep(pa.concat_tables(found), k, index.id_column)

@@ -36,6 +36,10 @@ TILE = 4 << 20
 HIT_ROWS = 200_000
 # Distances count as equal if they agree to this many decimals, so that no order of summation decides a rank.
 DECIMALS = 9
+# Minima over stretches of rows that bound the k-th distance; candidates, times k, beyond which a bound is sought again.
+MINIMA, LOOSE = 256, 8
+# Squares below this bound can be summed in single precision.
+SINGLE_RANGE = 1e30
 # Relative slack that covers rounding of the matrix product.
 SLACK = 1e-9
 # Rounding may lift a distance by half a unit, on both sides of a comparison.
@@ -56,25 +60,70 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(vectors), -1)
 
 
+class _Rows:
+    """Vectors ready for matrix products: the square of each stands beside it."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors, self.squares = vectors, (vectors**2).sum(axis=1)
+        self.highest = self.squares.max()
+        self.single = self.highest < SINGLE_RANGE
+        self.sides = self._sides(np.float32 if self.single else np.float64)
+
+    def _sides(self, kind: type) -> np.ndarray:
+        return np.hstack([self.vectors, self.squares[:, None]]).astype(kind).T
+
+    def distances(self, queries: np.ndarray, q2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances less the square of the query, up to the slack of each query."""
+        slack = SLACK * (q2 + self.highest) + ROUNDING
+        sides = self.sides
+        if self.single and not q2.max(initial=0.0) < SINGLE_RANGE:
+            sides = self._sides(np.float64)
+        if sides.dtype == np.float32:  # the casts, the products and their sums round
+            steps = (self.vectors.shape[1] + 4) * float(np.finfo(np.float32).eps)
+            slack = slack + steps * (self.highest + 2.0 * np.sqrt(q2 * self.highest))
+        left = np.hstack([-2.0 * queries, np.ones((len(queries), 1))]).astype(sides.dtype)
+        return left @ sides, slack
+
+
+def _bound(rough: np.ndarray, k: int) -> np.ndarray:
+    """A value per line that at least ``k`` of its members do not exceed: the k-th of the minima over stretches."""
+    high = rough.shape[1] // max(MINIMA, k)
+    if high > 1 and rough.dtype == np.float32:  # no member is NaN
+        wide = rough.shape[1] // high
+        rough = rough[:, : high * wide].reshape(len(rough), high, wide).min(axis=1)
+    return np.partition(rough, k - 1, axis=1)[:, k - 1].astype(np.float64)
+
+
 def _closest(
-    vectors: np.ndarray, queries: np.ndarray, k: int, beyond: np.ndarray
+    rows: _Rows, queries: np.ndarray, k: int, beyond: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query, row, distance)`` of all rows that may be among the ``k`` nearest.
 
     A matrix product gives distances up to rounding; rows within the slack of
-    the k-th one, and not farther than ``beyond``, are measured again exactly.
+    a bound on the k-th one, and not farther than ``beyond``, are measured
+    again exactly.
     """
+    vectors = rows.vectors
     if vectors.shape[1] != queries.shape[1]:
         raise ValueError(f"store dimension {vectors.shape[1]}, query dimension {queries.shape[1]}")
-    v2, q2 = (vectors**2).sum(axis=1), (queries**2).sum(axis=1)
-    rough = q2[:, None] + v2[None, :] - 2.0 * (queries @ vectors.T)
-    slack = SLACK * (q2 + v2.max()) + ROUNDING
-    limit = beyond
-    if len(vectors) > k:
-        limit = np.minimum(beyond, np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)
-    query, row = np.nonzero(rough <= (limit + slack)[:, None])
-    exact = np.round(((vectors[row] - queries[query]) ** 2).sum(axis=1), DECIMALS)
-    return query, row, exact
+    q2 = (queries**2).sum(axis=1)
+    rough, slack = rows.distances(queries, q2)
+
+    def within(limit: np.ndarray) -> np.ndarray:
+        most = limit - q2 + slack
+        most = np.where(np.isnan(most), np.inf, most).astype(rough.dtype)
+        return rough <= np.nextafter(most, rough.dtype.type(np.inf))[:, None]
+
+    near = within(beyond) if len(vectors) <= k or np.isfinite(beyond).all() else None
+    if near is None or (len(vectors) > k and np.count_nonzero(near) > LOOSE * k * len(queries)):
+        near = within(np.minimum(beyond, _bound(rough, k) + q2 + slack))
+    query, row = np.divmod(np.flatnonzero(near), len(vectors))
+    exact = np.empty(len(row))
+    step = max(1, TILE // (4 * max(vectors.shape[1], 1)))
+    for at in range(0, len(row), step):  # equal vectors can be many
+        some = slice(at, at + step)
+        exact[some] = ((vectors[row[some]] - queries[query[some]]) ** 2).sum(axis=1)
+    return query, row, np.round(exact, DECIMALS)
 
 
 def _cut(query: np.ndarray, score: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
@@ -94,11 +143,15 @@ def _keep(table: pa.Table, k: int, id_column: str) -> pa.Table:
 
 
 def _scored(
-    batches: Iterator[pa.RecordBatch], queries: np.ndarray, k: int, id_column: str, vector: str
+    batches: Iterator[pa.RecordBatch], queries: np.ndarray, k: int, id_column: str, vector: str,
+    beyond: np.ndarray | None = None,
 ) -> pa.Table | None:
-    """The ``k`` nearest rows of each query over all batches, with ``query_at`` and ``score``."""
+    """The ``k`` nearest rows of each query over all batches, with ``query_at`` and ``score``.
+
+    Rows farther than ``beyond`` from their query may be left out.
+    """
     best: pa.Table | None = None
-    beyond = np.full(len(queries), np.inf)
+    beyond = np.full(len(queries), np.inf) if beyond is None else beyond.copy()
     for batch in batches:
         batch = batch.filter(batch[vector].is_valid())
         if not batch.num_rows:
@@ -112,10 +165,10 @@ def _scored(
         ids = batch[id_column]
         place = np.empty(len(ids), np.int64)
         place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-        tiles = []
+        tiles, rows = [], _Rows(matrix)
         step = max(1, TILE // len(matrix))
         for at in range(0, len(queries), step):  # ties are cut to k before anything is taken
-            query, row, score = _closest(matrix, queries[at : at + step], k, beyond[at : at + step])
+            query, row, score = _closest(rows, queries[at : at + step], k, beyond[at : at + step])
             kept = _cut(query, score, place[row], k)
             tiles.append((query[kept] + at, row[kept], score[kept]))
         query, row, score = (np.concatenate(x) for x in zip(*tiles, strict=True))
@@ -125,7 +178,7 @@ def _scored(
         full = np.flatnonzero(np.bincount(at, minlength=len(queries)) == k)
         worst = np.zeros(len(queries))
         np.maximum.at(worst, at, scores)
-        beyond[full] = worst[full]
+        beyond[full] = np.minimum(beyond[full], worst[full])
     return best
 
 
